@@ -92,7 +92,8 @@ def leader_in_group(
     cond = per_item[item_out] == renamed["__top"]
     for g in group:
         cond = cond & per_item[g].eqNullSafe(renamed[f"__g_{g}"])
-    leaders = per_item.join(renamed, on=cond, how="inner").select(item, *group, total_out, item_out)
+    # item first, then the group keys last-to-first: (commodity, flow, category, ...)
+    leaders = per_item.join(renamed, on=cond, how="inner").select(item, *reversed(group), total_out, item_out)
     ordered = leaders.orderBy(F.col(total_out).desc())
     if not label:
         return ordered
@@ -101,7 +102,7 @@ def leader_in_group(
 
 def period_totals(
     df: DataFrame,
-    keys=("country_or_area", "year", "flow"),
+    keys=("country_or_area", "flow", "year"),
     measure: str = "trade_usd",
     out: str = "overall_sum",
     label_out: str = "overall_sum_str",
