@@ -19,7 +19,7 @@ from tallyspark.operators.market import (
     peer_mean,
     period_comparison,
 )
-from tallyspark.operators.quality import clean_rows, distinct_values, duplicate_keys
+from tallyspark.operators.quality import clean_rows, distinct_values, duplicate_keys, duplicate_values
 from tallyspark.operators.ranking import (
     leader_in_group,
     period_totals,
@@ -42,6 +42,7 @@ __all__ = [
     "daily_basket",
     "distinct_values",
     "duplicate_keys",
+    "duplicate_values",
     "enrich_facts",
     "group_profile",
     "harmonize_columns",

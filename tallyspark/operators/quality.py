@@ -78,6 +78,28 @@ def duplicate_keys(
     )
 
 
+def duplicate_values(
+    df: DataFrame,
+    columns,
+    column_out: str = "column_name",
+    value_out: str = "value",
+    count_column: str = "number_of_occurrences",
+    min_count: int = 2,
+) -> DataFrame:
+    """Repeated values of several columns in one pass: the columns are unpivoted to
+    (column name, value as text) and counted together, so an extract is scanned and shuffled
+    once rather than once per column. Nulls are reported like any other value."""
+    cols = as_list(columns)
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
+        [], cols, column_out, value_out
+    )
+    return (
+        long.groupBy(column_out, value_out)
+        .agg(F.count(F.lit(1)).alias(count_column))
+        .filter(F.col(count_column) >= min_count)
+    )
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of one column in ascending order (null first)."""
     return df.select(column).distinct().orderBy(F.col(column).asc_nulls_first())

@@ -59,6 +59,10 @@ select distinct substr(cast(d as string),1,10) as Id, cast(year(d) as string) as
 """,
 }
 
+# Row groups of the written stand-in tables (the generated inputs are one row group each, so
+# their scans run in one task; the copies split into several).
+FIXTURE_ROW_GROUP_BYTES = 8 * 1024 * 1024
+
 # Views that other views read.
 FIXTURE_DEPS = {"trade": ("trade_base",)}
 
@@ -89,7 +93,7 @@ def _order(names) -> list[str]:
 
 
 def _key(sf_dir: str, name: str) -> str:
-    text = sf_dir.rstrip("/") + "\n" + "\n".join(FIXTURE_SQL[n] for n in _order([name]))
+    text = f"{sf_dir.rstrip('/')}\n{FIXTURE_ROW_GROUP_BYTES}\n" + "\n".join(FIXTURE_SQL[n] for n in _order([name]))
     return hashlib.sha1(text.encode()).hexdigest()[:16]
 
 
@@ -102,7 +106,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     register_tables(spark, sf_dir)
     for dep in FIXTURE_DEPS.get(name, ()):
         fixture(spark, sf_dir, dep).createOrReplaceTempView(dep)
-    return materialize(spark.sql(FIXTURE_SQL[name]), path)
+    return materialize(spark.sql(FIXTURE_SQL[name]), path, row_group_bytes=FIXTURE_ROW_GROUP_BYTES)
 
 
 def typed_fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,12 +23,14 @@ from tallyspark.operators import (
     attach_daily_map,
     balance,
     balance_by_period,
+    balance_from_totals,
     balance_leaderboard,
     blended_rate,
     clean_rows,
     daily_basket,
     distinct_values,
     duplicate_keys,
+    duplicate_values,
     enrich_facts,
     group_profile,
     harmonize_columns,
@@ -62,6 +64,7 @@ SINCE_YEAR = 1998
 AS_OF_DATE = "2000-01-01"
 MANUFACTURER = "Brand#1"
 LEADERBOARD_SIZE = 200
+ONE_COUNTRY = "NATION_ba"
 # Snapshot replay of ``events``: one snapshot per 6 days from 2024-01-01 00:00:00 UTC; the
 # freshness check runs 300 s after the last snapshot, so exactly that one is fresh.
 SNAPSHOT_ORIGIN_EPOCH = 1_704_067_200
@@ -291,6 +294,12 @@ def q_balance(spark, sf):
     return balance(trade_clean(spark, sf), SINCE_YEAR)
 
 
+@register("balance_join_form", sql(["trade"], f"SELECT *, {L('saldo')} AS saldo_str FROM bal", _BALANCE_CTES))
+def q_balance_join_form(spark, sf):
+    t = trade_clean(spark, sf)
+    return balance_from_totals(totals_since(t, "Export", SINCE_YEAR), totals_since(t, "Import", SINCE_YEAR))
+
+
 @register(
     "balance_leaderboard",
     sql(
@@ -320,6 +329,23 @@ def q_balance_by_period(spark, sf):
     return balance_by_period(trade_clean(spark, sf))
 
 
+@register(
+    "balance_by_period_country",
+    sql(
+        ["trade"],
+        f"""SELECT country_or_area, year, export_total, import_total, export_total - import_total AS saldo,
+{L('export_total - import_total')} AS saldo_str
+FROM (SELECT country_or_area, year, flow, CAST(sum(trade_usd) AS BIGINT) AS export_total,
+             lead(CAST(sum(trade_usd) AS BIGINT)) OVER (PARTITION BY country_or_area, year ORDER BY flow) AS import_total
+      FROM trade_clean WHERE country_or_area = '{ONE_COUNTRY}' AND flow IN ('Import', 'Export') GROUP BY country_or_area, year, flow)
+WHERE export_total - import_total IS NOT NULL""",
+        [TRADE_CLEAN],
+    ),
+)
+def q_balance_by_period_country(spark, sf):
+    return balance_by_period(trade_clean(spark, sf), country=ONE_COUNTRY)
+
+
 # --------------------------------------------------------------------------- loans
 def loans(spark, sf):
     return fixture(spark, sf, "loans_ibrd")
@@ -416,6 +442,60 @@ def q_blended_rate(spark, sf):
     return blended_rate(open_position(loans(spark, sf)), open_position(credits_harmonized(spark, sf)), AS_OF_DATE)
 
 
+@register(
+    "credit_totals",
+    sql(
+        ["credits_ida"],
+        "SELECT country, CAST(sum(original_principal_amount) AS BIGINT) AS total_loans_amount FROM credits_h GROUP BY country",
+        [CREDITS_H],
+    ),
+)
+def q_credit_totals(spark, sf):
+    return ranked_totals(credits_harmonized(spark, sf), "country", "original_principal_amount", out="total_loans_amount")
+
+
+@register("credit_share", sql(["credits_ida"], _share_sql("credits_h"), [CREDITS_H]))
+def q_credit_share(spark, sf):
+    return share_of_total(credits_harmonized(spark, sf))
+
+
+@register(
+    "credit_mean_rate",
+    sql(["credits_ida"], f"SELECT country, {R4('avg(interest_rate)', 'avg_interest_rate')} FROM credits_h GROUP BY country", [CREDITS_H]),
+)
+def q_credit_mean_rate(spark, sf):
+    return round4(ranked_means(credits_harmonized(spark, sf)), "avg_interest_rate")
+
+
+@register(
+    "credit_profile",
+    sql(
+        ["credits_ida"],
+        f"SELECT country, count(country) AS number_of_loans, {R4('avg(interest_rate)', 'avg_interest_rate')}, "
+        "CAST(sum(original_principal_amount) AS BIGINT) AS total_loans_amount FROM credits_h GROUP BY country",
+        [CREDITS_H],
+    ),
+)
+def q_credit_profile(spark, sf):
+    return round4(group_profile(credits_harmonized(spark, sf)), "avg_interest_rate")
+
+
+@register(
+    "open_credit_share",
+    sql(["credits_ida"], _share_sql("credits_h", f"WHERE loan_status NOT IN {CLOSED_SQL}"), [CREDITS_H]),
+)
+def q_open_credit_share(spark, sf):
+    return open_share_of_total(credits_harmonized(spark, sf))
+
+
+@register(
+    "credit_open_position",
+    sql(["credits_ida"], _open_position_sql("credits_h", RS("avg(interest_rate)", 4)), [CREDITS_H]),
+)
+def q_credit_open_position(spark, sf):
+    return round4(open_position(credits_harmonized(spark, sf)), "avg_interest_rate")
+
+
 @register("harmonize_columns", sql(["credits_ida"], "SELECT * FROM credits_h", [CREDITS_H]))
 def q_harmonize_columns(spark, sf):
     return credits_harmonized(spark, sf)
@@ -439,6 +519,19 @@ def q_duplicate_keys_lineitem(spark, sf):
     return duplicate_keys(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+CUSTOMER_CHECK_COLUMNS = ("c_name", "c_nationkey", "c_mktsegment")
+
+
+@register(
+    "duplicate_values_customer",
+    "SELECT column_name, value, count(*) AS number_of_occurrences FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM customer" for c in CUSTOMER_CHECK_COLUMNS)
+    + ") GROUP BY column_name, value HAVING count(*) > 1",
+)
+def q_duplicate_values_customer(spark, sf):
+    return duplicate_values(read_table(spark, sf, "customer"), CUSTOMER_CHECK_COLUMNS)
+
+
 @register("distinct_values", "SELECT DISTINCT p_type FROM part")
 def q_distinct_values(spark, sf):
     return distinct_values(read_table(spark, sf, "part"), "p_type")

@@ -9,6 +9,7 @@ local), never the driver's local disk, and a copy counts as present only when it
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,19 +76,42 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def materialize(df: DataFrame, path: str, partition_by=None) -> DataFrame:
+def materialize(df: DataFrame, path: str, partition_by=None, row_group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` unless a complete copy is there, then return the
     Parquet scan, so the first and later runs share one lineage (and the Parquet file's
-    pushdown and pruning). A copy without ``_SUCCESS`` is overwritten."""
+    pushdown and pruning). A copy without ``_SUCCESS`` is overwritten.
+
+    ``row_group_bytes`` caps the Parquet row group size: a reader splits a file only at row
+    group boundaries, so a small table written by one task still scans on many cores."""
     spark = df.sparkSession
     if not is_complete(spark, path):
+        staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
         writer = df.write.mode("overwrite")
+        if row_group_bytes:
+            writer = writer.option("parquet.block.size", int(row_group_bytes))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        writer.parquet(staging)
+        publish(spark, staging, path)
     return spark.read.parquet(path)
 
 
+def publish(spark: SparkSession, staging: str, path: str) -> None:
+    """Move a finished write from ``staging`` to ``path`` with one rename, so readers never
+    see a half-written table. If another writer published first, its copy is kept; a
+    half-written leftover at ``path`` (no ``_SUCCESS``) is replaced."""
+    fs, src = _hadoop(spark, staging)
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(dst):
+        if is_complete(spark, path):
+            fs.delete(src, True)
+            return
+        fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst) and not is_complete(spark, path):
+        raise OSError(f"could not publish {staging} as {path}")
+
+
 def materialize_parquet(
     spark: SparkSession,
     csv_path: str,
@@ -134,5 +158,6 @@ __all__ = [
     "normalize_columns",
     "normalized_name",
     "path_exists",
+    "publish",
     "read_csv",
 ]
