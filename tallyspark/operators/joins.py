@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import null_safe_on
@@ -18,13 +19,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """Hint ``df`` for broadcast only if it holds at most ``max_rows`` rows.
 
     The check is a bounded count (``limit(max_rows + 1)``), so it stops early on a large
-    input. Use it for dimension tables read from storage, not for aggregates computed in the
-    same plan (those are measured by AQE at run time without a second pass).
+    input. Use it for dimension tables read from storage; for an aggregate computed inside
+    the same plan use ``materialize_small``, which computes it only once.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
+def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Settle the join strategy for an aggregate computed inside a plan before the big side runs.
+
+    Left to the planner, such an aggregate is estimated at about its input's size, so a
+    sort-merge join is planned and the big side is shuffled even when AQE later finds the
+    aggregate tiny. Here the aggregate is written once as a Parquet table in the shared
+    checkpoint folder (one job; its lineage is cut, so a lost executor does not recompute
+    it); its row count is observed during that same write (``Observation``, no second job),
+    and it is hinted for broadcast only when it has at most ``max_rows`` rows. Otherwise the
+    written table feeds an ordinary shuffle join.
+    """
+    from tallyspark.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "stages", uuid.uuid4().hex)
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    saved = spark.read.parquet(path)
+    return F.broadcast(saved) if rows.get["rows"] <= max_rows else saved
+
+
 def join_on_keys(
     left: DataFrame,
     right: DataFrame,
@@ -51,4 +73,4 @@ def join_on_keys(
     return joined.drop(*[f"__right_{k}" for k in keys])
 
 
-__all__ = ["BROADCAST_MAX_ROWS", "broadcast_if_small", "join_on_keys", "null_safe_on"]
+__all__ = ["BROADCAST_MAX_ROWS", "broadcast_if_small", "join_on_keys", "materialize_small", "null_safe_on"]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import exact_mean, ordered_sum
-from tallyspark.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, join_on_keys
+from tallyspark.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, join_on_keys, materialize_small
 
 # The OHLC columns whose mean is a coin's daily rate.
 OHLC = ("Open", "Close", "High", "Low")
@@ -81,11 +81,11 @@ def attach_daily_map(
     """Distinct price rows that have a rate day, each with the day's coin count, rate and
     coin map; ordered by ``sort_keys`` (pass ``()`` to skip the global sort).
 
-    The per-day table is broadcast after a bounded count (days, not rows); the price fact is
-    de-duplicated on its own columns (a partial aggregate) and then streams through a
-    broadcast hash join with no shuffle of its own.
+    The per-day table (one row per day) is written once and broadcast after a bounded count;
+    the price fact is de-duplicated on its own columns (a partial aggregate) and then streams
+    through the broadcast hash join with no further shuffle.
     """
-    per_day = broadcast_if_small(coin_map_per_day(basket, time=time), max_days)
+    per_day = materialize_small(coin_map_per_day(basket, time=time), max_days)
     out = prices.dropDuplicates().join(per_day, on=time, how="inner")
     return out.orderBy(*sort_keys) if sort_keys else out
 

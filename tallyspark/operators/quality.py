@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.functions.columns import as_list
-from tallyspark.operators.joins import join_on_keys
+from tallyspark.operators.joins import join_on_keys, materialize_small
 
 # Fixed value: a country/area name holding a digit is an aggregate bloc, not a country.
 DIGIT_PATTERN = "[0-9]"
@@ -45,8 +45,9 @@ def duplicate_keys(
 
     The count is combinable, so a hot key is pre-aggregated map-side and never lands whole
     in one task. For wide keys (long texts) a first pass groups 96-bit fingerprints
-    (xxhash64 + murmur3) so only fingerprints are shuffled; full keys are shuffled only for
-    rows whose fingerprint repeats. The second pass regroups those rows on the exact key,
+    (xxhash64 + murmur3) so only fingerprints are shuffled; the repeated fingerprints are
+    written once and, when their count is bounded, broadcast into a semi join, so full keys
+    are shuffled only for candidate rows. The second pass regroups those rows on the exact key,
     so a fingerprint collision cannot produce a false duplicate, and a true duplicate always
     shares its fingerprint, so none is missed.
     """
@@ -63,7 +64,7 @@ def duplicate_keys(
     fp = df.select(*keys).withColumns(
         {"__fp1": F.xxhash64(*key_cols), "__fp2": F.hash(*key_cols)}
     )
-    repeated = (
+    repeated = materialize_small(
         fp.groupBy("__fp1", "__fp2")
         .agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") >= min_count)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import as_list, exclude_values
 from tallyspark.functions.labels import magnitude_label
+from tallyspark.operators.joins import materialize_small
 
 
 def top_with_ties(
@@ -26,13 +27,15 @@ def top_with_ties(
     """Rows holding the maximum ``measure`` of their ``keys`` group, ties kept, with the
     maximum in ``out`` (labelled). A group whose measures are all null yields nothing.
 
-    Plan: max per group (partial + final hash aggregate, one row per group), then a left
-    semi join of the rows on (keys, measure = max). The measure in the join key spreads a
-    hot group across tasks; the per-group maxima are small enough for AQE to broadcast.
+    Plan: max per group (partial + final hash aggregate over the key and measure columns
+    only, one row per group), written once and broadcast when the group count is bounded;
+    then a left semi join of the rows on (keys, measure = max), which streams the rows
+    without a shuffle. Past the bound it is a shuffle join whose key includes the measure,
+    so a hot group spreads across tasks.
     """
     keys = as_list(keys)
     src = exclude_values(df, exclude)
-    maxima = src.groupBy(*keys).agg(F.max(measure).alias("__max"))
+    maxima = materialize_small(src.groupBy(*keys).agg(F.max(measure).alias("__max")))
     renamed = maxima.withColumnsRenamed({k: f"__k_{k}" for k in keys})
     cond = src[measure] == renamed["__max"]
     for k in keys:
