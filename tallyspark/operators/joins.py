@@ -37,14 +37,25 @@ def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     and it is hinted for broadcast only when it has at most ``max_rows`` rows. Otherwise the
     written table feeds an ordinary shuffle join.
     """
+    saved, rows = stage(df)
+    return F.broadcast(saved) if rows <= max_rows else saved
+
+
+def stage(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and return the scan of
+    that table with its row count, observed during the write (no second job).
+
+    Use it where one intermediate feeds several branches of a plan whose column sets
+    differ (Spark cannot reuse their exchanges, so the intermediate would be recomputed per
+    branch), and to cut a long lineage so a lost executor does not recompute it.
+    """
     from tallyspark.session import scratch_path
 
     spark = df.sparkSession
     path = scratch_path(spark, "stages", uuid.uuid4().hex)
     rows = Observation()
     df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    saved = spark.read.parquet(path)
-    return F.broadcast(saved) if rows.get["rows"] <= max_rows else saved
+    return spark.read.parquet(path), int(rows.get["rows"])
 
 
 def join_on_keys(
@@ -73,4 +84,4 @@ def join_on_keys(
     return joined.drop(*[f"__right_{k}" for k in keys])
 
 
-__all__ = ["BROADCAST_MAX_ROWS", "broadcast_if_small", "join_on_keys", "materialize_small", "null_safe_on"]
+__all__ = ["BROADCAST_MAX_ROWS", "broadcast_if_small", "join_on_keys", "materialize_small", "null_safe_on", "stage"]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import exact_mean, ordered_sum
-from tallyspark.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, join_on_keys, materialize_small
+from tallyspark.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, join_on_keys, materialize_small, stage
 
 # The OHLC columns whose mean is a coin's daily rate.
 OHLC = ("Open", "Close", "High", "Low")
@@ -32,17 +32,23 @@ def daily_basket(
     """Mineable coins' rates per day. One row per (day, coin) rate row with ``High`` and
     ``Currency_Name``, plus the day's ``Number_Of_Mineable_Coins`` (non-null codes) and
     ``Avg_Crypto_Rate``, the *sum* over the day's coins of each coin's OHLC mean, added in
-    ascending order so the value is the same however the rows were partitioned (a day holds
-    one rate row per coin, so its list is bounded by the coin dimension)."""
+    ascending order so the value is the same however the rows were partitioned. A day holds
+    one rate row per coin, so the per-day lists are bounded by the (size-checked) coin
+    dimension."""
     dim = broadcast_if_small(coins.filter(F.col(mineable) == 1).select(coin_id, "Code", "Currency_Name"))
     joined = rates.join(dim, rates[code_id] == dim[coin_id], "inner")
     row_mean = sum((F.col(c) for c in OHLC[1:]), F.col(OHLC[0])) / F.lit(4)
     rows = joined.select(time, "High", "Currency_Name", "Code", row_mean.alias("__row_mean"))
+    # One shuffle by day: the day's figures and its coin rows in one aggregate, then the coin
+    # rows are laid out again with ``inline`` (no join back, no window).
     per_day = rows.groupBy(time).agg(
         F.count("Code").alias("Number_Of_Mineable_Coins"),
         ordered_sum("__row_mean").alias("Avg_Crypto_Rate"),
+        F.collect_list(F.struct("High", "Currency_Name")).alias("__coins"),
     )
-    return join_on_keys(rows.select(time, "High", "Currency_Name"), per_day, [time]).orderBy(time)
+    return per_day.select(
+        time, F.inline("__coins"), "Number_Of_Mineable_Coins", "Avg_Crypto_Rate"
+    ).orderBy(time)
 
 
 def enrich_facts(
@@ -121,15 +127,17 @@ def period_comparison(
     """Each product-day next to its product-year mean price and the year's mean daily rate
     (averaged over product rows), rounded for reporting.
 
-    The year means are a group-by on ``Year`` (tiny, broadcast: at most one row per day of
-    the size-checked time dimension); the product-year means are a group-by joined back on
-    (product, year), where AQE can split a hot pair across tasks.
+    The product-day rows (with their year) are written once and read by the three branches
+    (rows, product-year means, year means), so the upstream plan runs once. The year means
+    are a group-by on ``Year`` (tiny, broadcast: at most one row per day of the size-checked
+    time dimension); the product-year means are a group-by joined back on (product, year),
+    where AQE can split a hot pair across tasks.
     """
     days = time_dim.select(time_id, year)
     n_days = days.limit(BROADCAST_MAX_ROWS + 1).count()
     small = n_days <= BROADCAST_MAX_ROWS
     days = F.broadcast(days) if small else days
-    rows = df.join(days, df[time] == days[time_id], "inner").drop(days[time_id])
+    rows, _ = stage(df.join(days, df[time] == days[time_id], "inner").drop(days[time_id]))
     by_product_year = rows.groupBy(product, year).agg(exact_mean("Price_USD").alias("Avg_Price_USD"))
     by_year = rows.groupBy(year).agg(exact_mean("Avg_Crypto_Rate").alias("Year_Avg_Crypto_Rate"))
     by_year = F.broadcast(by_year) if small else by_year

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import as_list, exclude_values
 from tallyspark.functions.labels import magnitude_label
-from tallyspark.operators.joins import materialize_small
+from tallyspark.operators.joins import materialize_small, stage
 
 
 def top_with_ties(
@@ -31,7 +31,8 @@ def top_with_ties(
     only, one row per group), written once and broadcast when the group count is bounded;
     then a left semi join of the rows on (keys, measure = max), which streams the rows
     without a shuffle. Past the bound it is a shuffle join whose key includes the measure,
-    so a hot group spreads across tasks.
+    so a hot group spreads across tasks. The (small) result is written once before the
+    global sort, so the big table is scanned twice in all, not three times.
     """
     keys = as_list(keys)
     src = exclude_values(df, exclude)
@@ -41,6 +42,9 @@ def top_with_ties(
     for k in keys:
         cond = cond & src[k].eqNullSafe(renamed[f"__k_{k}"])
     hits = src.join(renamed, on=cond, how="left_semi").withColumn(out, F.col(measure))
+    # The hits are written before the sort: a global sort samples its input to pick range
+    # bounds, and sampling the unshuffled scan + semi join would read the whole table again.
+    hits, _ = stage(hits)
     ordered = hits.orderBy(F.col(out).desc())
     return ordered.withColumn(out, magnitude_label(out)) if label else ordered
 

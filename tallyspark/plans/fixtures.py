@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.session import scratch_path
 from tallyspark.functions.columns import cast_columns
 from tallyspark.sources.files import is_complete, materialize
-from tallyspark.sources.testdata import register_tables
+from tallyspark.sources.testdata import memo_scan, register_tables
 
 # The stand-in view definitions.
 FIXTURE_SQL = {
@@ -101,12 +101,16 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The stand-in table ``name`` for ``sf_dir``: built by Spark SQL on first use, written
     as Parquet in the shared folder, then always read from there."""
     path = scratch_path(spark, "fixtures", f"{name}-{_key(sf_dir, name)}")
-    if is_complete(spark, path):
-        return spark.read.parquet(path)
-    register_tables(spark, sf_dir)
-    for dep in FIXTURE_DEPS.get(name, ()):
-        fixture(spark, sf_dir, dep).createOrReplaceTempView(dep)
-    return materialize(spark.sql(FIXTURE_SQL[name]), path, row_group_bytes=FIXTURE_ROW_GROUP_BYTES)
+
+    def build() -> DataFrame:
+        if is_complete(spark, path):
+            return spark.read.parquet(path)
+        register_tables(spark, sf_dir)
+        for dep in FIXTURE_DEPS.get(name, ()):
+            fixture(spark, sf_dir, dep).createOrReplaceTempView(dep)
+        return materialize(spark.sql(FIXTURE_SQL[name]), path, row_group_bytes=FIXTURE_ROW_GROUP_BYTES)
+
+    return memo_scan(spark, path, build)
 
 
 def typed_fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
