@@ -1,44 +1,57 @@
-"""Join helpers: broadcast only behind a size check, null-safe key joins."""
+"""Join helpers: broadcast only behind a size check, staged intermediates, null-safe key joins."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.functions.columns import null_safe_on
 
-# Largest dimension (in rows) that is hinted for broadcast. Above it the join falls back to
-# the planner: a sort-merge join, or a broadcast picked by AQE from measured sizes.
+# Largest side hinted for broadcast, in rows and in estimated bytes (string lengths plus a
+# fixed width per other value). Above either bound the join falls back to the planner: a
+# sort-merge join, or a broadcast that AQE picks from measured shuffle sizes.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
+_FIXED_WIDTH = 8
+_NESTED_WIDTH = 64
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only if it holds at most ``max_rows`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1)``), so it stops early on a large
-    input. Use it for dimension tables read from storage; for an aggregate computed inside
-    the same plan use ``materialize_small``, which computes it only once.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def _value_bytes(field: T.StructField) -> Column:
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.lit(_NESTED_WIDTH)
+    return F.lit(_FIXED_WIDTH)
 
 
-def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Settle the join strategy for an aggregate computed inside a plan before the big side runs.
+def size_probe(df: DataFrame) -> list[Column]:
+    """Aggregates giving a frame's row count and estimated bytes in one pass."""
+    width = sum((_value_bytes(f) for f in df.schema.fields), F.lit(0))
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
 
-    Left to the planner, such an aggregate is estimated at about its input's size, so a
-    sort-merge join is planned and the big side is shuffled even when AQE later finds the
-    aggregate tiny. Here the aggregate is written once as a Parquet table in the shared
-    checkpoint folder (one job; its lineage is cut, so a lost executor does not recompute
-    it); its row count is observed during that same write (``Observation``, no second job),
-    and it is hinted for broadcast only when it has at most ``max_rows`` rows. Otherwise the
-    written table feeds an ordinary shuffle join.
+
+def fits_broadcast(rows: int, nbytes: int, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    return rows <= max_rows and nbytes <= max_bytes
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """Hint ``df`` for broadcast only if it holds at most ``max_rows`` rows and about
+    ``max_bytes`` bytes.
+
+    The check is one bounded job over ``limit(max_rows + 1)``, so it stops early on a large
+    input. Use it for dimension tables read from storage; for an aggregate computed inside
+    the same plan use ``materialize_small``, which computes it only once.
     """
-    saved, rows = stage(df)
-    return F.broadcast(saved) if rows <= max_rows else saved
+    probe = df.limit(max_rows + 1).agg(*size_probe(df)).first()
+    return F.broadcast(df) if fits_broadcast(probe["rows"], probe["bytes"], max_rows, max_bytes) else df
 
 
 def stage(df: DataFrame) -> tuple[DataFrame, int]:
@@ -49,13 +62,36 @@ def stage(df: DataFrame) -> tuple[DataFrame, int]:
     differ (Spark cannot reuse their exchanges, so the intermediate would be recomputed per
     branch), and to cut a long lineage so a lost executor does not recompute it.
     """
+    saved, rows, _ = _stage(df)
+    return saved, rows
+
+
+def _stage(df: DataFrame) -> tuple[DataFrame, int, int]:
     from tallyspark.session import scratch_path
 
     spark = df.sparkSession
     path = scratch_path(spark, "stages", uuid.uuid4().hex)
-    rows = Observation()
-    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(rows.get["rows"])
+    size = Observation()
+    df.observe(size, *size_probe(df)).write.mode("overwrite").parquet(path)
+    got = size.get
+    return spark.read.parquet(path), int(got["rows"]), int(got["bytes"])
+
+
+def materialize_small(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """Settle the join strategy for an aggregate computed inside a plan before the big side runs.
+
+    Left to the planner, such an aggregate is estimated at about its input's size, so a
+    sort-merge join is planned and the big side is shuffled even when AQE later finds the
+    aggregate tiny. Here the aggregate is written once as a Parquet table in the shared
+    checkpoint folder (one job; its lineage is cut, so a lost executor does not recompute
+    it); its rows and bytes are observed during that same write (``Observation``), and it is
+    hinted for broadcast only within both bounds. Otherwise the written table feeds an
+    ordinary shuffle join.
+    """
+    saved, rows, nbytes = _stage(df)
+    return F.broadcast(saved) if fits_broadcast(rows, nbytes, max_rows, max_bytes) else saved
 
 
 def join_on_keys(
@@ -84,4 +120,30 @@ def join_on_keys(
     return joined.drop(*[f"__right_{k}" for k in keys])
 
 
-__all__ = ["BROADCAST_MAX_ROWS", "broadcast_if_small", "join_on_keys", "materialize_small", "null_safe_on", "stage"]
+def total_order(df: DataFrame, *leading) -> list[Column]:
+    """Sort keys that order by ``leading`` and then by every other column. A global sort
+    range-partitions on its keys and cannot split rows with equal keys; refining the order
+    with the remaining columns lets a hot key spread over several range partitions."""
+    lead = [c if isinstance(c, Column) else F.col(c) for c in leading]
+    names = {c for c in leading if isinstance(c, str)}
+    unsortable = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+    rest = [
+        F.col(f"`{f.name}`")
+        for f in df.schema.fields
+        if f.name not in names and not isinstance(f.dataType, unsortable)
+    ]
+    return lead + rest
+
+
+__all__ = [
+    "BROADCAST_MAX_BYTES",
+    "BROADCAST_MAX_ROWS",
+    "broadcast_if_small",
+    "fits_broadcast",
+    "join_on_keys",
+    "materialize_small",
+    "null_safe_on",
+    "size_probe",
+    "stage",
+    "total_order",
+]

@@ -15,7 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import exact_mean, ordered_sum
-from tallyspark.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, join_on_keys, materialize_small, stage
+from tallyspark.operators.joins import (
+    BROADCAST_MAX_ROWS,
+    broadcast_if_small,
+    fits_broadcast,
+    join_on_keys,
+    materialize_small,
+    size_probe,
+    stage,
+    total_order,
+)
 
 # The OHLC columns whose mean is a coin's daily rate.
 OHLC = ("Open", "Close", "High", "Low")
@@ -85,7 +94,8 @@ def attach_daily_map(
     max_days: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Distinct price rows that have a rate day, each with the day's coin count, rate and
-    coin map; ordered by ``sort_keys`` (pass ``()`` to skip the global sort).
+    coin map; ordered by ``sort_keys`` (refined by the other columns, so one hot product-day
+    cannot fill a single sort task; pass ``()`` to skip the global sort).
 
     The per-day table (one row per day) is written once and broadcast after a bounded count;
     the price fact is de-duplicated on its own columns (a partial aggregate) and then streams
@@ -93,7 +103,7 @@ def attach_daily_map(
     """
     per_day = materialize_small(coin_map_per_day(basket, time=time), max_days)
     out = prices.dropDuplicates().join(per_day, on=time, how="inner")
-    return out.orderBy(*sort_keys) if sort_keys else out
+    return out.orderBy(*total_order(out, *sort_keys)) if sort_keys else out
 
 
 def peer_mean(
@@ -134,8 +144,8 @@ def period_comparison(
     where AQE can split a hot pair across tasks.
     """
     days = time_dim.select(time_id, year)
-    n_days = days.limit(BROADCAST_MAX_ROWS + 1).count()
-    small = n_days <= BROADCAST_MAX_ROWS
+    probe = days.limit(BROADCAST_MAX_ROWS + 1).agg(*size_probe(days)).first()
+    small = fits_broadcast(probe["rows"], probe["bytes"])
     days = F.broadcast(days) if small else days
     rows, _ = stage(df.join(days, df[time] == days[time_id], "inner").drop(days[time_id]))
     by_product_year = rows.groupBy(product, year).agg(exact_mean("Price_USD").alias("Avg_Price_USD"))

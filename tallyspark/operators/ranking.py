@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import as_list, exclude_values
 from tallyspark.functions.labels import magnitude_label
-from tallyspark.operators.joins import materialize_small, stage
+from tallyspark.operators.joins import materialize_small, stage, total_order
 
 
 def top_with_ties(
@@ -45,7 +45,7 @@ def top_with_ties(
     # The hits are written before the sort: a global sort samples its input to pick range
     # bounds, and sampling the unshuffled scan + semi join would read the whole table again.
     hits, _ = stage(hits)
-    ordered = hits.orderBy(F.col(out).desc())
+    ordered = hits.orderBy(*total_order(hits, F.col(out).desc()))
     return ordered.withColumn(out, magnitude_label(out)) if label else ordered
 
 
