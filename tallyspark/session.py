@@ -8,6 +8,7 @@ round trips, stream checkpoints) goes under the folder the cluster names in
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -68,3 +69,40 @@ def build_session(
     spark.sparkContext.setLogLevel("ERROR")
     shared_root(spark)
     return spark
+
+
+def cluster_conf(
+    largest_shuffle_bytes: float = 40e12,
+    total_cores: int = 8000,
+    partition_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 1 000 executors over ~100 TB of Parquet).
+
+    Shuffle partitions start at ``largest_shuffle_bytes / partition_bytes`` (at least three
+    waves of ``total_cores``), and AQE coalesces them down to ``partition_bytes`` per task, so
+    the largest shuffle fits executor memory without spilling and small ones do not run
+    thousands of empty tasks. Skewed join partitions are split at run time, and broadcasts
+    stay within 64 MB. Executors that are being decommissioned hand their shuffle files off.
+    """
+    partitions = max(3 * total_cores, math.ceil(largest_shuffle_bytes / partition_bytes))
+    mb = f"{partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+    }

@@ -35,11 +35,22 @@ def snapshot_stream(
     schema: str = SNAPSHOT_SCHEMA,
     max_files_per_trigger: int | None = 1,
     with_epoch: bool = True,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
-    """Streaming scan of snapshot CSV files under ``path`` (a folder or a glob)."""
+    """Streaming scan of snapshot CSV files under ``path`` (a folder or a glob).
+
+    ``clean_source`` (``"archive"`` with ``archive_dir``, or ``"delete"``) lets the source
+    retire files once a batch that read them is committed; this replaces deleting old
+    snapshots by hand, and it is safe on restart because only committed files are retired.
+    """
     reader = spark.readStream.schema(schema).option("header", "false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     df = reader.csv(path)
     return with_snapshot_epoch(df) if with_epoch else df
 
@@ -64,14 +75,16 @@ def running_totals(
 
 def fresh_snapshots(
     df: DataFrame,
-    as_of_epoch: float,
+    as_of_epoch: float | None,
     max_age_seconds: float = MAX_AGE_SECONDS,
     epoch: str = "snapshot_epoch",
 ) -> DataFrame:
     """Rows of snapshots at most ``max_age_seconds`` old at ``as_of_epoch`` (a snapshot exactly
-    that old is kept). Works on batch and streaming frames alike; pair it with the file
-    source's ``cleanSource`` option to archive consumed files instead of deleting by hand."""
-    return df.filter(F.lit(as_of_epoch) - F.col(epoch) <= F.lit(max_age_seconds))
+    that old is kept). ``None`` means the wall clock, read once per query or micro-batch.
+    Works on batch and streaming frames alike; pair it with the file source's
+    ``cleanSource`` option to archive consumed files instead of deleting by hand."""
+    now = F.unix_timestamp() if as_of_epoch is None else F.lit(as_of_epoch)
+    return df.filter(now - F.col(epoch) <= F.lit(max_age_seconds))
 
 
 def write_snapshot_files(df: DataFrame, path: str, epoch: str = "snapshot_epoch") -> None:

@@ -51,3 +51,26 @@ def test_fresh_snapshots_stream_keeps_last_snapshot_only(spark):
     assert epochs == {FRESH_AS_OF_EPOCH - 300}
     all_epochs = {r.snapshot_epoch for r in snapshot_batch(spark, path).select("snapshot_epoch").distinct().collect()}
     assert len(all_epochs) == 5
+
+
+def test_fresh_snapshots_wall_clock(spark):
+    import time
+
+    now = int(time.time())
+    df = spark.createDataFrame([(1, now - 10), (2, now - 10_000)], "id int, snapshot_epoch long")
+    assert [r.id for r in fresh_snapshots(df, None).collect()] == [1]
+
+
+def test_clean_source_archives_consumed_files(spark):
+    import os
+    import shutil
+
+    base = tempfile.mkdtemp(prefix="tallyspark-clean-")
+    src = snapshot_files(spark, SF0001).rsplit("/sys_log=", 1)[0]
+    shutil.copytree(src, base + "/in")
+    out, ckpt = _dirs()
+    stream = snapshot_stream(spark, base + "/in/sys_log=*/*.csv", clean_source="archive", archive_dir=base + "/archive")
+    got = run_append(stream, out, ckpt)
+    assert got.count() == 1000
+    archived = [f for _, _, fs in os.walk(base + "/archive") for f in fs if f.endswith(".csv")]
+    assert len(archived) >= 1
