@@ -51,6 +51,7 @@ from tallyspark.session import scratch_path
 from tallyspark.sources.files import is_complete, load_tables, materialize_parquet, normalize_columns, read_csv
 from tallyspark.sources.testdata import read_table
 from tallyspark.streaming.snapshots import (
+    by_total,
     fresh_snapshots,
     run_append,
     run_complete,
@@ -748,7 +749,8 @@ def _run_dirs(spark) -> tuple[str, str]:
 def q_running_totals(spark, sf):
     out, ckpt = _run_dirs(spark)
     stream = snapshot_stream(spark, snapshot_files(spark, sf), max_files_per_trigger=1)
-    return round4(run_complete(running_totals(stream), out, ckpt), "total_memory_percent")
+    totals = run_complete(running_totals(stream, sort=False), out, ckpt)
+    return round4(by_total(totals), "total_memory_percent")
 
 
 @register(
@@ -763,8 +765,9 @@ def q_running_totals(spark, sf):
 def q_running_totals_cpu(spark, sf):
     out, ckpt = _run_dirs(spark)
     stream = snapshot_stream(spark, snapshot_files(spark, sf), max_files_per_trigger=1)
-    totals = running_totals(stream, measures=("memory_percent", "cpu_percent"))
-    return round4(run_complete(totals, out, ckpt), "total_memory_percent", "total_cpu_percent")
+    measures = ("memory_percent", "cpu_percent")
+    totals = run_complete(running_totals(stream, measures=measures, sort=False), out, ckpt)
+    return round4(by_total(totals, measures), "total_memory_percent", "total_cpu_percent")
 
 
 @register(

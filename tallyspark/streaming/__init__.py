@@ -4,6 +4,7 @@ from tallyspark.streaming.snapshots import (
     EPOCH_PATTERN,
     MAX_AGE_SECONDS,
     SNAPSHOT_SCHEMA,
+    by_total,
     fresh_snapshots,
     run_append,
     run_complete,
@@ -18,6 +19,7 @@ __all__ = [
     "EPOCH_PATTERN",
     "MAX_AGE_SECONDS",
     "SNAPSHOT_SCHEMA",
+    "by_total",
     "fresh_snapshots",
     "run_append",
     "run_complete",

@@ -66,10 +66,18 @@ def running_totals(
     key: str = "name",
     measures: Sequence[str] = ("memory_percent",),
     prefix: str = "total_",
+    sort: bool = True,
 ) -> DataFrame:
     """Sum of each measure per ``key`` over everything read so far, largest first by the
-    first measure. On a stream this needs complete output mode (a sorted aggregate)."""
+    first measure. On a stream it runs in complete output mode; when the sink is a table,
+    pass ``sort=False`` and order on read (``by_total``), so no micro-batch pays for a
+    global sort whose order a Parquet table would not keep."""
     totals = df.groupBy(key).agg(*[F.sum(m).alias(prefix + m) for m in measures])
+    return by_total(totals, measures, prefix) if sort else totals
+
+
+def by_total(totals: DataFrame, measures: Sequence[str] = ("memory_percent",), prefix: str = "total_") -> DataFrame:
+    """Running totals ordered largest first by the first measure."""
     return totals.orderBy(F.col(prefix + measures[0]).desc())
 
 
@@ -134,6 +142,7 @@ def run_append(df: DataFrame, output_path: str, checkpoint_path: str) -> DataFra
 
 
 __all__ = [
+    "by_total",
     "EPOCH_PATTERN",
     "MAX_AGE_SECONDS",
     "SNAPSHOT_SCHEMA",
