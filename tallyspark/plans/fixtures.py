@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.session import scratch_path
 from tallyspark.functions.columns import cast_columns
-from tallyspark.sources.files import is_complete, materialize
+from tallyspark.sources.files import content_bytes, is_complete, materialize
 from tallyspark.sources.testdata import memo_scan, register_tables
 
 # The stand-in view definitions.
@@ -59,9 +59,18 @@ select distinct substr(cast(d as string),1,10) as Id, cast(year(d) as string) as
 """,
 }
 
-# Row groups of the written stand-in tables (the generated inputs are one row group each, so
-# their scans run in one task; the copies split into several).
-FIXTURE_ROW_GROUP_BYTES = 8 * 1024 * 1024
+# Row groups of the written stand-in tables: a reader splits a Parquet file only between row
+# groups, so they are sized for about two scan tasks per core, between 1 MB (small data
+# still spreads over the cores) and 128 MB (the usual size at cluster scale).
+MIN_ROW_GROUP_BYTES = 1 << 20
+MAX_ROW_GROUP_BYTES = 128 << 20
+LAYOUT_VERSION = "rg-by-input-size"
+
+
+def row_group_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Row group size for stand-in tables derived from ``sf_dir`` (file metadata only)."""
+    per_task = content_bytes(spark, sf_dir) // (2 * spark.sparkContext.defaultParallelism)
+    return int(min(max(per_task, MIN_ROW_GROUP_BYTES), MAX_ROW_GROUP_BYTES))
 
 # Views that other views read.
 FIXTURE_DEPS = {"trade": ("trade_base",)}
@@ -93,7 +102,7 @@ def _order(names) -> list[str]:
 
 
 def _key(sf_dir: str, name: str) -> str:
-    text = f"{sf_dir.rstrip('/')}\n{FIXTURE_ROW_GROUP_BYTES}\n" + "\n".join(FIXTURE_SQL[n] for n in _order([name]))
+    text = f"{sf_dir.rstrip('/')}\n{LAYOUT_VERSION}\n" + "\n".join(FIXTURE_SQL[n] for n in _order([name]))
     return hashlib.sha1(text.encode()).hexdigest()[:16]
 
 
@@ -108,7 +117,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         register_tables(spark, sf_dir)
         for dep in FIXTURE_DEPS.get(name, ()):
             fixture(spark, sf_dir, dep).createOrReplaceTempView(dep)
-        return materialize(spark.sql(FIXTURE_SQL[name]), path, row_group_bytes=FIXTURE_ROW_GROUP_BYTES)
+        return materialize(spark.sql(FIXTURE_SQL[name]), path, row_group_bytes=row_group_bytes(spark, sf_dir))
 
     return memo_scan(spark, path, build)
 

@@ -26,6 +26,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def content_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path``, from file-system metadata (no job)."""
+    fs, hpath = _hadoop(spark, path)
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a Spark write to ``path`` finished (its ``_SUCCESS`` marker exists)."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
@@ -150,6 +156,7 @@ def load_tables(spark: SparkSession, directory: str, suffix: str = ".csv") -> di
 
 
 __all__ = [
+    "content_bytes",
     "is_complete",
     "list_names",
     "load_tables",
