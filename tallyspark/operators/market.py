@@ -37,13 +37,15 @@ def daily_basket(
     code_id: str = "CodeId",
     coin_id: str = "Id",
     mineable: str = "Is_Mineable",
+    sort: bool = True,
 ) -> DataFrame:
     """Mineable coins' rates per day. One row per (day, coin) rate row with ``High`` and
     ``Currency_Name``, plus the day's ``Number_Of_Mineable_Coins`` (non-null codes) and
     ``Avg_Crypto_Rate``, the *sum* over the day's coins of each coin's OHLC mean, added in
     ascending order so the value is the same however the rows were partitioned. A day holds
     one rate row per coin, so the per-day lists are bounded by the (size-checked) coin
-    dimension."""
+    dimension. Ordered by day; pass ``sort=False`` when the result feeds another aggregate
+    (the order would be discarded there)."""
     dim = broadcast_if_small(coins.filter(F.col(mineable) == 1).select(coin_id, "Code", "Currency_Name"))
     joined = rates.join(dim, rates[code_id] == dim[coin_id], "inner")
     row_mean = sum((F.col(c) for c in OHLC[1:]), F.col(OHLC[0])) / F.lit(4)
@@ -55,9 +57,8 @@ def daily_basket(
         ordered_sum("__row_mean").alias("Avg_Crypto_Rate"),
         F.collect_list(F.struct("High", "Currency_Name")).alias("__coins"),
     )
-    return per_day.select(
-        time, F.inline("__coins"), "Number_Of_Mineable_Coins", "Avg_Crypto_Rate"
-    ).orderBy(time)
+    out = per_day.select(time, F.inline("__coins"), "Number_Of_Mineable_Coins", "Avg_Crypto_Rate")
+    return out.orderBy(time) if sort else out
 
 
 def enrich_facts(

@@ -539,8 +539,8 @@ def q_distinct_values(spark, sf):
 
 
 # --------------------------------------------------------------------------- market
-def basket(spark, sf):
-    return daily_basket(typed_fixture(spark, sf, "crypto_rate"), typed_fixture(spark, sf, "crypto_dim"))
+def basket(spark, sf, sort=True):
+    return daily_basket(typed_fixture(spark, sf, "crypto_rate"), typed_fixture(spark, sf, "crypto_dim"), sort=sort)
 
 
 def enriched(spark, sf):
@@ -548,7 +548,7 @@ def enriched(spark, sf):
 
 
 def attached(spark, sf):
-    return attach_daily_map(enriched(spark, sf), basket(spark, sf))
+    return attach_daily_map(enriched(spark, sf), basket(spark, sf, sort=False))
 
 
 def nvidia(spark, sf):
