@@ -4,9 +4,9 @@ from tallyspark.functions.columns import (
     as_col,
     cast_columns,
     exact_mean,
+    exact_sum,
     exclude_values,
     null_safe_on,
-    ordered_sum,
     percent_of,
     safe_ratio,
 )
@@ -22,11 +22,11 @@ __all__ = [
     "days_until",
     "epoch_seconds",
     "exact_mean",
+    "exact_sum",
     "exclude_values",
     "magnitude_label",
     "magnitude_label_sql",
     "null_safe_on",
-    "ordered_sum",
     "parse_date",
     "percent_of",
     "safe_ratio",

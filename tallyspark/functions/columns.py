@@ -37,13 +37,11 @@ def percent_of(part, whole) -> Column:
     return safe_ratio(part, whole) * F.lit(100)
 
 
-def ordered_sum(c) -> Column:
-    """Aggregate: sum of the non-null values added in ascending order, so the double result
-    does not depend on how rows were partitioned (null when there are none). It collects the
-    group's values, so use it only for groups with a known small bound, such as the coins
-    of one day."""
-    values = F.array_sort(F.collect_list(as_col(c)))
-    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0).cast("double"), lambda acc, x: acc + x))
+def exact_sum(c, scale: int = 10) -> Column:
+    """Aggregate: sum computed on ``DECIMAL(38, scale)`` and returned as double. Decimal
+    addition is exact, so the result does not depend on partitioning or row order, and
+    nothing has to be collected to fix an order."""
+    return F.sum(as_col(c).cast(f"decimal(38,{scale})")).cast("double")
 
 
 def exact_mean(c, scale: int = 10) -> Column:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.columns import exact_mean, ordered_sum
+from tallyspark.functions.columns import exact_mean, exact_sum
 from tallyspark.operators.joins import (
     BROADCAST_MAX_ROWS,
     broadcast_if_small,
@@ -41,23 +41,24 @@ def daily_basket(
 ) -> DataFrame:
     """Mineable coins' rates per day. One row per (day, coin) rate row with ``High`` and
     ``Currency_Name``, plus the day's ``Number_Of_Mineable_Coins`` (non-null codes) and
-    ``Avg_Crypto_Rate``, the *sum* over the day's coins of each coin's OHLC mean, added in
-    ascending order so the value is the same however the rows were partitioned. A day holds
-    one rate row per coin, so the per-day lists are bounded by the (size-checked) coin
-    dimension. Ordered by day; pass ``sort=False`` when the result feeds another aggregate
-    (the order would be discarded there)."""
+    ``Avg_Crypto_Rate``, the *sum* over the day's rows of each coin's OHLC mean.
+
+    The per-day figures are one partial/final aggregate (an exact decimal sum, so the value
+    does not depend on partitioning), written once and broadcast back to the rows when the
+    day count is bounded; no day's rows are gathered in one task. Ordered by day; pass
+    ``sort=False`` when the result feeds another aggregate.
+    """
     dim = broadcast_if_small(coins.filter(F.col(mineable) == 1).select(coin_id, "Code", "Currency_Name"))
     joined = rates.join(dim, rates[code_id] == dim[coin_id], "inner")
     row_mean = sum((F.col(c) for c in OHLC[1:]), F.col(OHLC[0])) / F.lit(4)
     rows = joined.select(time, "High", "Currency_Name", "Code", row_mean.alias("__row_mean"))
-    # One shuffle by day: the day's figures and its coin rows in one aggregate, then the coin
-    # rows are laid out again with ``inline`` (no join back, no window).
-    per_day = rows.groupBy(time).agg(
-        F.count("Code").alias("Number_Of_Mineable_Coins"),
-        ordered_sum("__row_mean").alias("Avg_Crypto_Rate"),
-        F.collect_list(F.struct("High", "Currency_Name")).alias("__coins"),
+    per_day = materialize_small(
+        rows.groupBy(time).agg(
+            F.count("Code").alias("Number_Of_Mineable_Coins"),
+            exact_sum("__row_mean").alias("Avg_Crypto_Rate"),
+        )
     )
-    out = per_day.select(time, F.inline("__coins"), "Number_Of_Mineable_Coins", "Avg_Crypto_Rate")
+    out = join_on_keys(rows.select(time, "High", "Currency_Name"), per_day, [time])
     return out.orderBy(time) if sort else out
 
 

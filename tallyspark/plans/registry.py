@@ -3,8 +3,9 @@ an equivalent DuckDB SQL text (the correctness oracle).
 
 Query callables take ``(spark, sf_dir)`` and return a DataFrame. Oracle texts read the
 pre-registered views (``lineitem``, ``orders``, ...) and rebuild the stand-in tables as CTEs.
-Double aggregates whose last bits depend on summation order are rounded to 4 places in
-both engines (``R4``); everything else is compared as computed.
+Sums and means of money are exact decimals in both engines. Double means whose last bits
+depend on summation order are rounded to 4 places in both (``R4``), with DuckDB's rounding
+written to match Spark's (``RS``); everything else is compared as computed.
 """
 
 from __future__ import annotations
@@ -103,6 +104,13 @@ def RS(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
+def DEC(expr: str) -> str:
+    """Spark's double → ``DECIMAL(38,10)`` cast in DuckDB text: Spark converts the double's
+    shortest decimal form (exact), DuckDB scales the binary value (can be off in the last
+    place), so the oracle goes through text as Spark does."""
+    return f"CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 10))"
+
+
 def R4(expr: str, alias: str) -> str:
     return f"{RS(expr, 4)} AS {alias}"
 
@@ -565,7 +573,7 @@ _BASKET_CTES = [
     (
         "day_sum",
         "SELECT TimeId, count(Code) AS Number_Of_Mineable_Coins, "
-        "list_reduce(list_sort(list(row_mean) FILTER (WHERE row_mean IS NOT NULL)), lambda a, b: a + b) AS Avg_Crypto_Rate "
+        f"CAST(sum({DEC('row_mean')}) AS DOUBLE) AS Avg_Crypto_Rate "
         "FROM coin_rows GROUP BY TimeId",
     ),
     (
@@ -591,8 +599,8 @@ _ATTACH_CTES = [
 ]
 _PEER_CTE = (
     "peer",
-    "SELECT ProdId, TimeId, avg(CAST(Price_USD AS DECIMAL(38, 10))) AS Price_USD, "
-    "avg(CAST(Price_Original AS DECIMAL(38, 10))) AS Price_Original, Processor_Manufacturer, Processor, "
+    f"SELECT ProdId, TimeId, avg({DEC('Price_USD')}) AS Price_USD, "
+    f"avg({DEC('Price_Original')}) AS Price_Original, Processor_Manufacturer, Processor, "
     "GPU_Manufacturer, Memory_Capacity, Number_Of_Mineable_Coins, Avg_Crypto_Rate, Coin_Map FROM attached "
     f"WHERE Processor_Manufacturer = '{MANUFACTURER}' GROUP BY ProdId, TimeId, Processor_Manufacturer, Processor, GPU_Manufacturer, "
     "Memory_Capacity, Number_Of_Mineable_Coins, Avg_Crypto_Rate, Coin_Map",
@@ -643,8 +651,8 @@ def q_peer_mean(spark, sf):
         [*_MARKET_FIXTURES, "time_dim_typed"],
         f"""SELECT TimeId, Processor_Manufacturer AS CPU_Producer, Processor, {RS('Memory_Capacity', 0)} AS GB,
 GPU_Manufacturer AS GPU_Producer, Number_Of_Mineable_Coins, {RS('Avg_Crypto_Rate', 2)} AS Daily_Avg_Crypto_Rate,
-{RS('avg(CAST(Avg_Crypto_Rate AS DECIMAL(38, 10))) OVER (PARTITION BY Year)', 2)} AS Year_Avg_Crypto_Rate, {RS('Price_USD', 2)} AS Price_USD,
-{RS('Price_Original', 2)} AS Price_Original, {RS('avg(CAST(Price_USD AS DECIMAL(38, 10))) OVER (PARTITION BY ProdId, Year)', 2)} AS Avg_Price_USD
+{RS(f"avg({DEC('Avg_Crypto_Rate')}) OVER (PARTITION BY Year)", 2)} AS Year_Avg_Crypto_Rate, {RS('Price_USD', 2)} AS Price_USD,
+{RS('Price_Original', 2)} AS Price_Original, {RS(f"avg({DEC('Price_USD')}) OVER (PARTITION BY ProdId, Year)", 2)} AS Avg_Price_USD
 FROM peer p JOIN time_dim_typed t ON p.TimeId = t.Id""",
         [*_ATTACH_CTES, _PEER_CTE],
     ),
