@@ -46,11 +46,13 @@ def broadcast_if_small(
     """Hint ``df`` for broadcast only if it holds at most ``max_rows`` rows and about
     ``max_bytes`` bytes.
 
-    The check is one bounded job over ``limit(max_rows + 1)``, so it stops early on a large
-    input. Use it for dimension tables read from storage; for an aggregate computed inside
-    the same plan use ``materialize_small``, which computes it only once.
+    The check is one distributed aggregate (partial count and byte sum per task, one row
+    per task to the final), so it scales with the table. A ``limit(n)`` under the aggregate
+    would funnel up to ``n`` rows from every task into a single partition. Use it for
+    dimension tables read from storage; for an aggregate computed inside the same plan use
+    ``materialize_small``, which computes it only once.
     """
-    probe = df.limit(max_rows + 1).agg(*size_probe(df)).first()
+    probe = df.agg(*size_probe(df)).first()
     return F.broadcast(df) if fits_broadcast(probe["rows"], probe["bytes"], max_rows, max_bytes) else df
 
 

@@ -146,7 +146,7 @@ def period_comparison(
     where AQE can split a hot pair across tasks.
     """
     days = time_dim.select(time_id, year)
-    probe = days.limit(BROADCAST_MAX_ROWS + 1).agg(*size_probe(days)).first()
+    probe = days.agg(*size_probe(days)).first()
     small = fits_broadcast(probe["rows"], probe["bytes"])
     days = F.broadcast(days) if small else days
     rows, _ = stage(df.join(days, df[time] == days[time_id], "inner").drop(days[time_id]))
