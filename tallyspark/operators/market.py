@@ -2,9 +2,9 @@
 and three dimensions (coins, products, days).
 
 Shapes chosen for scale:
-* dimensions are broadcast only after a bounded row count (``broadcast_if_small``);
-* per-day and per-year figures are small aggregates joined back, never windows over raw
-  rows (a window on ``Year`` would put a whole year in one task);
+* dimensions are broadcast only after a size check of rows and bytes (``broadcast_if_small``);
+* per-day and per-year figures are small aggregates, written once and broadcast back, never
+  windows over raw rows (a window on ``Year`` would put a whole year in one task);
 * the rates side is reduced to one row per day *before* it meets the price fact, so the big
   fact is never fanned out by the number of coins and never de-duplicated on wide rows.
 """
