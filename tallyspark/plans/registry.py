@@ -49,7 +49,7 @@ from tallyspark.operators import (
 )
 from tallyspark.plans.fixtures import fixture, oracle_ctes, typed_fixture
 from tallyspark.session import scratch_path
-from tallyspark.sources.files import is_complete, load_tables, materialize_parquet, normalize_columns, read_csv
+from tallyspark.sources.files import is_complete, load_tables, materialize_parquet, normalize_columns, publish, read_csv
 from tallyspark.sources.testdata import read_table
 from tallyspark.streaming.snapshots import (
     by_total,
@@ -680,7 +680,9 @@ def _csv_copy(spark, sf, table: str, folder: str, headers=None) -> str:
         df = read_table(spark, sf, table)
         if headers:
             df = df.withColumnsRenamed(headers)
-        df.write.mode("overwrite").option("header", "true").csv(path)
+        staging = f"{path}.staging-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").option("header", "true").csv(staging)
+        publish(spark, staging, path)
     return path
 
 
@@ -741,7 +743,9 @@ def snapshot_files(spark, sf) -> str:
             F.col("value").alias("memory_percent"),
             (F.lit(SNAPSHOT_ORIGIN_EPOCH) + bucket * F.lit(SNAPSHOT_INTERVAL_SECONDS)).cast("long").alias("snapshot_epoch"),
         )
-        write_snapshot_files(snaps, path)
+        staging = f"{path}.staging-{uuid.uuid4().hex}"
+        write_snapshot_files(snaps, staging)
+        publish(spark, staging, path)
     return path + "/sys_log=*/*.csv"
 
 
