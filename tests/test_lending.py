@@ -95,3 +95,10 @@ def test_harmonize_columns(spark):
     credits = fixture(spark, SF001, "credits_ida")
     out = harmonize_columns(credits)
     assert out.columns == ["country", "original_principal_amount", "interest_rate", "loan_status", "last_repayment_date"]
+
+
+def test_share_of_total_reuses_the_aggregate_shuffle(spark):
+    df = share_of_total(fixture(spark, SF001, "loans_ibrd"))
+    df.collect()  # the final adaptive plan is known after execution
+    plan = plan_text(df)
+    assert "ReusedExchange" in plan and "Window" not in plan
