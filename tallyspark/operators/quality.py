@@ -39,6 +39,7 @@ def duplicate_keys(
     count_column: str = "number_of_occurrences",
     min_count: int = 2,
     hash_prefilter: bool | None = None,
+    fingerprints=None,
 ) -> DataFrame:
     """Key values (one or several columns) that occur at least ``min_count`` times, with
     their count. A null key is a group of its own and is reported like any other.
@@ -49,7 +50,8 @@ def duplicate_keys(
     written once and, when their count is bounded, broadcast into a semi join, so full keys
     are shuffled only for candidate rows. The second pass regroups those rows on the exact key,
     so a fingerprint collision cannot produce a false duplicate, and a true duplicate always
-    shares its fingerprint, so none is missed.
+    shares its fingerprint, so none is missed. ``fingerprints`` replaces the two fingerprint
+    columns (tests force collisions with it).
     """
     keys = as_list(keys)
     if hash_prefilter is None:
@@ -61,9 +63,8 @@ def duplicate_keys(
             .filter(F.col(count_column) >= min_count)
         )
     key_cols = [F.col(k) for k in keys]
-    fp = df.select(*keys).withColumns(
-        {"__fp1": F.xxhash64(*key_cols), "__fp2": F.hash(*key_cols)}
-    )
+    fp1, fp2 = fingerprints or (F.xxhash64(*key_cols), F.hash(*key_cols))
+    fp = df.select(*keys).withColumns({"__fp1": fp1, "__fp2": fp2})
     repeated = materialize_small(
         fp.groupBy("__fp1", "__fp2")
         .agg(F.count(F.lit(1)).alias("__n"))

@@ -51,3 +51,12 @@ def test_distinct_values(spark):
     part = read_table(spark, SF001, "part")
     got = [r[0] for r in distinct_values(part, "p_type").collect()]
     assert got == sorted(got) and len(got) == 6
+
+
+def test_duplicate_keys_exact_under_fingerprint_collisions(spark):
+    from pyspark.sql import functions as F
+
+    docs = read_table(spark, SF001, "documents")
+    # every row gets the same fingerprint: the exact regrouping alone must decide
+    collided = duplicate_keys(docs, "text", hash_prefilter=True, fingerprints=(F.lit(7).cast("long"), F.lit(1)))
+    assert rows(collided) == rows(duplicate_keys(docs, "text", hash_prefilter=False))
