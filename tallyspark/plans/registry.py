@@ -56,6 +56,7 @@ from tallyspark.streaming.snapshots import (
     fresh_snapshots,
     run_append,
     run_complete,
+    run_update,
     running_totals,
     snapshot_stream,
     write_snapshot_files,
@@ -765,6 +766,17 @@ def q_running_totals(spark, sf):
     return round4(by_total(totals), "total_memory_percent")
 
 
+@register(
+    "running_totals_update",
+    sql(None, f"SELECT name, {R4('sum(memory_percent)', 'total_memory_percent')} FROM snap GROUP BY name", [_SNAPSHOT_CTE]),
+)
+def q_running_totals_update(spark, sf):
+    out, ckpt = _run_dirs(spark)
+    stream = snapshot_stream(spark, snapshot_files(spark, sf), max_files_per_trigger=1)
+    totals = run_update(running_totals(stream, sort=False), out, ckpt)
+    return round4(by_total(totals), "total_memory_percent")
+
+
 @register(
     "running_totals_cpu",
     sql(

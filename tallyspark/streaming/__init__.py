@@ -6,8 +6,10 @@ from tallyspark.streaming.snapshots import (
     SNAPSHOT_SCHEMA,
     by_total,
     fresh_snapshots,
+    latest_per_key,
     run_append,
     run_complete,
+    run_update,
     running_totals,
     snapshot_batch,
     snapshot_stream,
@@ -21,8 +23,10 @@ __all__ = [
     "SNAPSHOT_SCHEMA",
     "by_total",
     "fresh_snapshots",
+    "latest_per_key",
     "run_append",
     "run_complete",
+    "run_update",
     "running_totals",
     "snapshot_batch",
     "snapshot_stream",
