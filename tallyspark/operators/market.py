@@ -59,7 +59,7 @@ def daily_basket(
         )
     )
     out = join_on_keys(rows.select(time, "High", "Currency_Name"), per_day, [time])
-    return out.orderBy(time) if sort else out
+    return out.orderBy(*total_order(out, time)) if sort else out
 
 
 def enrich_facts(
