@@ -64,7 +64,7 @@ select distinct substr(cast(d as string),1,10) as Id, cast(year(d) as string) as
 # still spreads over the cores) and 128 MB (the usual size at cluster scale).
 MIN_ROW_GROUP_BYTES = 1 << 20
 MAX_ROW_GROUP_BYTES = 128 << 20
-LAYOUT_VERSION = "rg-by-input-size"
+LAYOUT_VERSION = "rebalanced-rg-by-input-size"
 
 
 def row_group_bytes(spark: SparkSession, sf_dir: str) -> int:
@@ -117,7 +117,10 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         register_tables(spark, sf_dir)
         for dep in FIXTURE_DEPS.get(name, ()):
             fixture(spark, sf_dir, dep).createOrReplaceTempView(dep)
-        return materialize(spark.sql(FIXTURE_SQL[name]), path, row_group_bytes=row_group_bytes(spark, sf_dir))
+        # REBALANCE lets AQE cut the output into even, advisory-sized partitions (one file
+        # each), so a branch that came out of a single-task scan does not become one big file.
+        table = spark.sql(FIXTURE_SQL[name]).hint("rebalance")
+        return materialize(table, path, row_group_bytes=row_group_bytes(spark, sf_dir))
 
     return memo_scan(spark, path, build)
 
