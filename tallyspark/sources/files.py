@@ -51,14 +51,19 @@ def read_csv(
     schema=None,
     header: bool = True,
     infer_schema: bool = True,
+    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """CSV scan. With a ``schema`` nothing is inferred (no extra pass over the files); without
-    one, ``infer_schema`` decides between inferred types and all-string columns."""
+    one, ``infer_schema`` decides between inferred types and all-string columns. Inference
+    reads the whole input once more; on very large feeds pass a ``schema``, or a
+    ``sampling_ratio`` so the inference pass reads only that fraction of the rows."""
     reader = spark.read.option("header", str(header).lower())
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", str(infer_schema).lower())
+        if infer_schema and sampling_ratio:
+            reader = reader.option("samplingRatio", float(sampling_ratio))
     return reader.csv(path)
 
 

@@ -56,3 +56,13 @@ def test_load_tables_all_strings(spark):
     assert is_complete(spark, f"{base}/parquet/nation")
     again = load_tables(spark, base)
     assert rows(again["nation"]) == rows(tables["nation"])
+
+
+def test_read_csv_sampled_inference_and_schema(spark):
+    base = _tmp()
+    part = read_table(spark, SF001, "part")
+    part.write.option("header", "true").csv(f"{base}/part.csv")
+    sampled = read_csv(spark, f"{base}/part.csv", sampling_ratio=0.5)
+    assert sampled.schema["p_retailprice"].dataType.simpleString() == "double"
+    typed = read_csv(spark, f"{base}/part.csv", schema=part.schema)
+    assert typed.schema == part.schema and typed.count() == part.count()
