@@ -142,10 +142,13 @@ def materialize_parquet(
     return materialize(df, target)
 
 
-def load_tables(spark: SparkSession, directory: str, suffix: str = ".csv") -> dict[str, DataFrame]:
+def load_tables(
+    spark: SparkSession, directory: str, suffix: str = ".csv", register_views: bool = False
+) -> dict[str, DataFrame]:
     """Every ``*.csv`` entry of ``directory`` (file or Spark-written folder) as an all-string
     table keyed by its stem, each copied once to ``<directory>/parquet/<stem>`` and returned
-    as the Parquet scan."""
+    as the Parquet scan. With ``register_views`` each table is also a temp view named by its
+    stem, for SQL text."""
     base = directory.rstrip("/")
     tables = {}
     for name in list_names(spark, base):
@@ -157,6 +160,9 @@ def load_tables(spark: SparkSession, directory: str, suffix: str = ".csv") -> di
             tables[stem] = spark.read.parquet(target)
         else:
             tables[stem] = materialize(read_csv(spark, f"{base}/{name}", infer_schema=False), target)
+    if register_views:
+        for stem, df in tables.items():
+            df.createOrReplaceTempView(stem)
     return tables
 
 

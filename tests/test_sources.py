@@ -54,8 +54,9 @@ def test_load_tables_all_strings(spark):
     assert all(f.dataType.simpleString() == "string" for f in tables["nation"].schema.fields)
     assert tables["region"].count() == 5
     assert is_complete(spark, f"{base}/parquet/nation")
-    again = load_tables(spark, base)
+    again = load_tables(spark, base, register_views=True)
     assert rows(again["nation"]) == rows(tables["nation"])
+    assert spark.sql("SELECT count(*) AS n FROM region").first().n == 5
 
 
 def test_read_csv_sampled_inference_and_schema(spark):
