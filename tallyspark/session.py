@@ -46,6 +46,7 @@ def build_session(
     shuffle_partitions: int = 8,
     app_name: str = "tallyspark",
     driver_memory: str = "8g",
+    extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """Session for tests and the bench. On a cluster the caller's session is used instead.
 
@@ -65,6 +66,8 @@ def build_session(
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.session.timeZone", "UTC")
     )
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_root(spark)
