@@ -41,28 +41,23 @@ def _key(row):
     return tuple((v is None, str(type(v).__name__) if v is not None else "", v if v is not None else 0) for v in row)
 
 
-def _family(spark_type: str) -> str:
-    t = spark_type.lower()
-    if t in ("bigint", "int", "smallint", "tinyint", "long", "integer"):
-        return "int"
-    if t in ("double", "float") or t.startswith("decimal"):
-        return "float"
-    if t.startswith("timestamp"):
-        return "timestamp"
-    return t.replace("varchar", "string")
-
-
-def _duck_family(t: str) -> str:
-    t = t.upper()
-    if t in ("BIGINT", "INTEGER", "SMALLINT", "TINYINT", "HUGEINT", "UBIGINT", "UINTEGER"):
-        return "int"
-    if t in ("DOUBLE", "FLOAT") or t.startswith("DECIMAL"):
-        return "float"
-    if t.startswith("TIMESTAMP"):
-        return "timestamp"
-    if t == "VARCHAR":
-        return "string"
-    return t.lower()
+# Spark type name -> the DuckDB type the oracle must produce (exact, not by family).
+_EXACT = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "smallint": "SMALLINT",
+    "tinyint": "TINYINT",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def _same_type(spark_type: str, duck_type: str) -> bool:
+    return _EXACT.get(spark_type, spark_type.upper()) == duck_type.upper()
 
 
 def _spark_duck_type_pairs(spark_df, rel):
@@ -86,7 +81,7 @@ def compare(spark, con, name: str, build, oracle: str, sf_dir: str) -> dict:
         res["columns"] = {"spark": sorted(scols), "oracle": sorted(dcols)}
         res["ok"] = False
         return res
-    type_diff = {c: (s_types[c], d_types[c]) for c in scols if _family(s_types[c]) != _duck_family(d_types[c])}
+    type_diff = {c: (s_types[c], d_types[c]) for c in scols if not _same_type(s_types[c], d_types[c])}
     res["types_match"] = not type_diff
     if type_diff:
         res["type_diff"] = type_diff
