@@ -1,5 +1,5 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare row count, column
-names, coarse types and values (order-insensitive, exact; floats also reported with a
+names, exact types and values (order-insensitive, exact; floats also reported with a
 relative tolerance so a last-bit difference is told apart from a wrong value).
 
     python -m tests.oracle [sf_dir] [name ...]
