@@ -78,3 +78,39 @@ def test_cluster_conf_sizes_partitions():
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = cluster_conf(largest_shuffle_bytes=1e9, total_cores=100)
     assert int(small["spark.sql.shuffle.partitions"]) == 300
+
+
+def test_queries_under_cluster_settings(spark):
+    """The recommended cluster settings (SQL ones, scaled down) work with the operators,
+    including the RocksDB state store for the stream."""
+    import tempfile
+
+    from tallyspark.plans import registry
+    from tallyspark.streaming import run_complete, running_totals, snapshot_batch, snapshot_stream
+    from tests.helpers import SF0001, SF001
+
+    conf = cluster_conf(largest_shuffle_bytes=64 * 1024 * 1024, total_cores=4, partition_bytes=8 * 1024 * 1024)
+    applied = {}
+    for key, value in conf.items():
+        if not key.startswith("spark.sql."):
+            continue  # deployment settings (decommissioning) are fixed at application start
+        applied[key] = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+    try:
+        q = registry.queries()
+        expected = {n: rows(q[n](spark, SF001)) for n in ("balance", "leader_in_group", "loan_share")}
+        assert all(expected.values())
+        base = tempfile.mkdtemp(prefix="tallyspark-cluster-")
+        path = registry.snapshot_files(spark, SF0001)
+        streamed = run_complete(running_totals(snapshot_stream(spark, path), sort=False), base + "/out", base + "/ckpt")
+        batch = running_totals(snapshot_batch(spark, path), sort=False)
+        r = lambda df: df.select("name", F.round("total_memory_percent", 6))
+        assert rows(r(streamed)) == rows(r(batch))
+    finally:
+        for key, old in applied.items():
+            if old is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, old)
+    # same answers as under the local settings
+    assert {n: rows(registry.queries()[n](spark, SF001)) for n in expected} == expected
