@@ -5,8 +5,9 @@ path carries the snapshot's epoch seconds (``sys_log<epoch>.csv`` or a ``sys_log
 folder). The consumer is Structured Streaming: a file source with a fixed schema, a stateful
 running aggregate (state = one row per process name, kept in the state store and recorded
 in the checkpoint, so a lost executor or a restart resumes instead of re-reading), and a
-sink that is either a Parquet table rewritten per micro-batch (complete mode) or the
-exactly-once Parquet file sink (append mode).
+sink: a Parquet table rewritten per micro-batch (complete mode, few keys), an append-only
+log of changed keys read back with ``max_by`` (update mode, many keys), or the exactly-once
+Parquet file sink (append mode, no aggregation).
 """
 
 from __future__ import annotations
