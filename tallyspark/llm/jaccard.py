@@ -18,10 +18,10 @@ Order of elements
     ``FREQUENT``, broadcast), then by hash. Any order is right; a passage that many documents
     share moves to the end of it and lists nothing.
 Lists
-    Lists are cut into blocks of at most ``LIST_BLOCK`` members by a hash of the member. Short
-    lists propose all their pairs. Long ones (families of near copies) first propose each
-    member with its nearest member and with the block's medoid, by the distance of parity
-    bitmaps; after the components of those are known, every remaining pair of members of
+    Lists of up to ``SHORT_LIST`` members propose all their pairs. Longer ones (families of near
+    copies) are cut into blocks of about ``LIST_BLOCK`` members by a hash of the member and first
+    propose each member with its nearest member and with the block's medoid, by the distance of
+    parity bitmaps (in two random blocks when there are several); after the components of those are known, every remaining pair of members of
     *different* components is proposed, block against block. A pair within one component would
     not change it, so nothing is lost and a family of g texts does not give g * g pairs.
 Verification
@@ -58,9 +58,9 @@ from tallyspark.operators.joins import broadcast_if_small
 K = 5
 PERCENT = 80
 FREQUENT = 1 << 17  # elements whose counts are broadcast, at most
-MIN_COUNT = 4  # counts below this in one stretch of rows are not summed
-STRETCH = 1 << 20  # elements counted or listed together in a task
-SHORT_LIST = 24
+MIN_COUNT = 2  # counts below this in one stretch of rows are not summed
+STRETCH = 1 << 21  # elements counted or listed together in a task
+SHORT_LIST = 6
 LIST_BLOCK = 1024
 MAX_SMALL = 16  # largest boundary that the cost is evaluated for
 LIST_COST = 3.0  # an entry of an inverted list against a subset: written, listed and paired
@@ -366,8 +366,9 @@ def _distances(rows: list[tuple[int, bytes]], others: list[tuple[int, bytes]] |
 
 def near_pairs(members: DataFrame) -> DataFrame:
     """Each member with its nearest one and with the medoid, in two random blocks per list."""
-    salted = members.withColumn("salt", F.explode(F.array(F.lit(0), F.lit(1))))
     blocks = F.ceil(F.col("members") / LIST_BLOCK)
+    salts = F.when(blocks > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    salted = members.withColumn("salt", F.explode(salts))
     cell = salted.withColumn("block", F.pmod(F.xxhash64("owner", "salt"), blocks))
 
     def choose(table: pa.Table) -> pa.Table:
@@ -381,7 +382,8 @@ def near_pairs(members: DataFrame) -> DataFrame:
         a, b = np.concatenate((i, i)), np.concatenate((nearest, np.full(len(i), medoid)))
         ok = np.isfinite(far[a, b])
         a, b = owners[a[ok]], owners[b[ok]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
     return cell.groupBy("list", "salt", "block").applyInArrow(choose, "a long, b long")
 
