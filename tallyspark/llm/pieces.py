@@ -164,11 +164,9 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, model, table_rows: int,
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, tool = table.value, Chunks.load(model)
         for batch in small_batches(batches):
-            out = []
-            for text in batch.column(1).to_pylist():
-                words = chunks_of(text)
-                own = tool.look_up(set(words), known)
-                out.append(finish([known[w] if w in known else own[w] for w in words]))
+            texts = [chunks_of(text) for text in batch.column(1).to_pylist()]
+            own = tool.look_up(set().union(*texts), known)  # one call: each call to the library has a cost
+            out = [finish([known[w] if w in known else own[w] for w in words]) for words in texts]
             made = [pa.array([o[i] for o in out], t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["doc_id", *[f.name for f in out_fields]])
 
