@@ -136,12 +136,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     spark = docs.sparkSession
     table, _ = stage(template_table(spark, templates).coalesce(1), "templates")
     classes = sorted(r[0] for r in table.select("class").distinct().collect())  # one per power of two
-    known = F.array_distinct(F.flatten(F.collect_list("shingles")))
-    wanted = F.broadcast(table.agg(known.alias("wanted")))
+    # shingles of all templates, a constant: the templates are a bounded parameter
+    held = sorted({h for r in table.select("shingles").collect() for h in r[0]})
+    wanted = F.lit(held) if held else F.array().cast("array<bigint>")
     likely = docs.where(F.col(text_col).rlike("(?i)" + "|".join(anchors(templates, min_containment)) if templates else "$^"))
     hashed = likely.select(F.col(id_col).alias("doc_id"), text_shingles(F.col(text_col)).alias("all"))
-    # a one-row table of the templates' shingles goes to every task
-    hit_docs, _ = stage(hashed.join(wanted, F.arrays_overlap("all", "wanted")).select("doc_id", "all"), "license-documents")
+    hit_docs, _ = stage(hashed.where(F.arrays_overlap("all", wanted)), "license-documents")
 
     n = F.size("all")
     cells = None
@@ -156,7 +156,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         return docs.select(F.col(id_col).alias("doc_id")).limit(0).selectExpr(
             "doc_id", "'' AS license_id", "0D AS containment", "0L AS first_word"
         )
-    windows = cells.where(F.size("window") > 0).join(wanted, F.arrays_overlap("window", "wanted")).drop("wanted")
+    windows = cells.where((F.size("window") > 0) & F.arrays_overlap("window", wanted))
     bands = table.select("license_id", "class", F.explode(signature(F.col("shingles"))).alias("at"))
     bands = bands.select("license_id", "class", F.col("at.band").alias("band"), F.col("at.low").alias("low"))
     keyed = windows.withColumn("at", F.explode(signature(F.col("window"))))
