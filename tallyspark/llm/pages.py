@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm.common import small_batches, stage
+from tallyspark.operators.joins import broadcast_if_small
 
 MIN_PAGES = 5
 MIN_SHARE = 0.3
@@ -215,7 +216,7 @@ _PARTS = T.StructType(
 
 
 def parse_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """``page_id, url, host, row, blocks, within, subtrees`` of every page."""
+    """``page_id, url, host, blocks, within, subtrees`` of every page."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 1 << 20):
@@ -231,7 +232,7 @@ def parse_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> D
     chosen = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
     parsed = chosen.mapInArrow(extract, T.StructType([*fields, *_PARTS.fields]))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return parsed.withColumn("host", host).withColumn("row", F.monotonically_increasing_id())
+    return parsed.withColumn("host", host)
 
 
 def main_text(
@@ -240,13 +241,14 @@ def main_text(
 ) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``."""
     parsed, _ = stage(parse_pages(pages, id_col, url_col, html_col), "parsed-pages")
-    seen = parsed.select("row", "host", F.explode(F.array_distinct("subtrees")).alias("subtree"))
+    seen = parsed.select("host", F.explode(F.array_distinct("subtrees")).alias("subtree"))
     counts = seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("on_pages")).where(F.col("on_pages") >= min_pages)
     hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    template = counts.join(hosts, "host").where(F.col("on_pages") >= min_share * F.col("host_pages")).select("host", "subtree")
-    hits = seen.join(template, ["host", "subtree"]).groupBy("row").agg(F.collect_list("subtree").alias("gone"))
+    template = counts.join(hosts, "host").where(F.col("on_pages") >= min_share * F.col("host_pages"))
+    # at most 1 / min_share times the subtrees of a mean page of the host
+    template, _ = stage(template.groupBy("host").agg(F.collect_list("subtree").alias("gone")), "templates")
     none = F.array().cast("array<bigint>")
-    pages_ = parsed.join(hits, "row", "left").withColumn("gone", F.coalesce("gone", none))
+    pages_ = parsed.join(broadcast_if_small(template), "host", "left").withColumn("gone", F.coalesce("gone", none))
     # numbers of the deleted subtrees of this page, then the blocks that lie in none of them
     gone = F.filter(F.sequence(F.lit(0), F.size("subtrees") - 1), lambda i: F.array_contains("gone", F.get("subtrees", i)))
     gone = F.when((F.size("gone") > 0) & (F.size("subtrees") > 0), gone).otherwise(F.array().cast("array<int>"))
