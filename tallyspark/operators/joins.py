@@ -11,14 +11,14 @@ from pyspark.sql import types as T
 
 from tallyspark.functions.columns import null_safe_on
 
-# Largest side hinted for broadcast, in rows and in estimated bytes (string lengths plus a
-# fixed width per other value). Above either bound the join falls back to the planner: a
+# Largest side hinted for broadcast, in rows and in estimated bytes (string lengths, the
+# content of nested values, and a fixed width per other value). Above either bound the join falls back to the planner: a
 # sort-merge join, or a broadcast that AQE picks from measured shuffle sizes.
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 _FIXED_WIDTH = 8
-_NESTED_WIDTH = 64
+_NESTED_FACTOR = 4  # a value takes at least two characters as JSON and eight bytes in a row
 
 
 def _value_bytes(field: T.StructField) -> Column:
@@ -26,7 +26,7 @@ def _value_bytes(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(c), F.lit(0))
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.lit(_NESTED_WIDTH)
+        return F.octet_length(F.to_json(F.struct(c))) * F.lit(_NESTED_FACTOR)  # by content
     return F.lit(_FIXED_WIDTH)
 
 

@@ -28,9 +28,10 @@ def clean_rows(
     return df.filter(cond)
 
 
-def _is_wide(df: DataFrame, keys: list[str]) -> bool:
-    wide = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
-    return any(isinstance(df.schema[k].dataType, wide) for k in keys)
+def _byte_equal(df: DataFrame, keys: list[str]) -> bool:
+    """Keys whose equality is that of their bytes, so that equal keys share a fingerprint."""
+    plain = (T.BinaryType, T.BooleanType, T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return all(isinstance(t, plain) or t == T.StringType() for t in (df.schema[k].dataType for k in keys))
 
 
 def duplicate_keys(
@@ -38,24 +39,24 @@ def duplicate_keys(
     keys,
     count_column: str = "number_of_occurrences",
     min_count: int = 2,
-    hash_prefilter: bool | None = None,
+    hash_prefilter: bool = False,
     fingerprints=None,
 ) -> DataFrame:
     """Key values (one or several columns) that occur at least ``min_count`` times, with
     their count. A null key is a group of its own and is reported like any other.
 
     The count is combinable, so a hot key is pre-aggregated map-side and never lands whole
-    in one task. For wide keys (long texts) a first pass groups 96-bit fingerprints
-    (xxhash64 + murmur3) so only fingerprints are shuffled; the repeated fingerprints are
-    written once and, when their count is bounded, broadcast into a semi join, so full keys
-    are shuffled only for candidate rows. The second pass regroups those rows on the exact key,
-    so a fingerprint collision cannot produce a false duplicate, and a true duplicate always
-    shares its fingerprint, so none is missed. ``fingerprints`` replaces the two fingerprint
-    columns (tests force collisions with it).
+    in one task. For wide keys (long texts) ``hash_prefilter`` adds a first pass over 96-bit
+    fingerprints (xxhash64 + murmur3), so only fingerprints are shuffled; the repeated
+    fingerprints are written once and, when their count is bounded, broadcast into a semi join,
+    so full keys are shuffled only for candidate rows. The second pass regroups those rows on
+    the exact key, so a fingerprint collision cannot produce a false duplicate. The pass is
+    refused for keys that can be equal without equal bytes (collated text, floats, nested
+    values). ``fingerprints`` replaces the two fingerprint columns (tests force collisions).
     """
     keys = as_list(keys)
-    if hash_prefilter is None:
-        hash_prefilter = _is_wide(df, keys)
+    if hash_prefilter and not _byte_equal(df, keys):
+        raise ValueError("hash_prefilter needs keys that are equal only when their bytes are")
     if not hash_prefilter:
         return (
             df.groupBy(*keys)

@@ -20,13 +20,17 @@ PACKAGE_DIR = "tallyspark"
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    Read from the session. Only when it is unset (a laptop or a unit test) is a fresh
-    local folder created and registered as the checkpoint directory.
+    Read from the session. Only when it is unset on a local master (a laptop or a unit test)
+    is a fresh local folder created and registered as the checkpoint directory; on a cluster
+    that would scatter the parts of a table over the executors' own disks, so it is an error.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"{CHECKPOINT_KEY} is not set: name a folder that all executors share (master {master})")
         root = tempfile.mkdtemp(prefix="tallyspark-checkpoint-")
         spark.sparkContext.setCheckpointDir(root)
         try:

@@ -51,19 +51,15 @@ def read_csv(
     schema=None,
     header: bool = True,
     infer_schema: bool = True,
-    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """CSV scan. With a ``schema`` nothing is inferred (no extra pass over the files); without
     one, ``infer_schema`` decides between inferred types and all-string columns. Inference
-    reads the whole input once more; on very large feeds pass a ``schema``, or a
-    ``sampling_ratio`` so the inference pass reads only that fraction of the rows."""
+    reads the whole input once more; on very large feeds pass a ``schema``."""
     reader = spark.read.option("header", str(header).lower())
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", str(infer_schema).lower())
-        if infer_schema and sampling_ratio:
-            reader = reader.option("samplingRatio", float(sampling_ratio))
     return reader.csv(path)
 
 
@@ -90,7 +86,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def materialize(df: DataFrame, path: str, partition_by=None, row_group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` unless a complete copy is there, then return the
     Parquet scan, so the first and later runs share one lineage (and the Parquet file's
-    pushdown and pruning). A copy without ``_SUCCESS`` is overwritten.
+    pushdown and pruning). A folder there without ``_SUCCESS`` is an error.
 
     ``row_group_bytes`` caps the Parquet row group size: a reader splits a file only at row
     group boundaries, so a small table written by one task still scans on many cores."""
@@ -109,15 +105,16 @@ def materialize(df: DataFrame, path: str, partition_by=None, row_group_bytes: in
 
 def publish(spark: SparkSession, staging: str, path: str) -> None:
     """Move a finished write from ``staging`` to ``path`` with one rename, so readers never
-    see a half-written table. If another writer published first, its copy is kept; a
-    half-written leftover at ``path`` (no ``_SUCCESS``) is replaced."""
+    see a half-written table. If another writer published first, its copy is kept. A
+    folder at ``path`` without ``_SUCCESS`` is not ours (a finished write is moved there whole)
+    and is never deleted: that is an error."""
     fs, src = _hadoop(spark, staging)
     dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if fs.exists(dst):
         if is_complete(spark, path):
             fs.delete(src, True)
             return
-        fs.delete(dst, True)
+        raise FileExistsError(f"{path} exists without _SUCCESS; it was not written here and is left alone")
     fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst) and not is_complete(spark, path):
         raise OSError(f"could not publish {staging} as {path}")
@@ -147,18 +144,19 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """Every ``*.csv`` entry of ``directory`` (file or Spark-written folder) as an all-string
     table keyed by its stem, each copied once to ``<directory>/parquet/<stem>`` and returned
-    as the Parquet scan. With ``register_views`` each table is also a temp view named by its
+    as the Parquet scan; copies are found without their CSV. With ``register_views`` each table is also a temp view named by its
     stem, for SQL text."""
     base = directory.rstrip("/")
     tables = {}
+    for stem in list_names(spark, f"{base}/parquet"):  # copies whose CSV may be gone
+        if is_complete(spark, f"{base}/parquet/{stem}"):
+            tables[stem] = spark.read.parquet(f"{base}/parquet/{stem}")
     for name in list_names(spark, base):
         if not name.endswith(suffix):
             continue
         stem = name[: -len(suffix)]
         target = f"{base}/parquet/{stem}"
-        if is_complete(spark, target):
-            tables[stem] = spark.read.parquet(target)
-        else:
+        if stem not in tables:
             tables[stem] = materialize(read_csv(spark, f"{base}/{name}", infer_schema=False), target)
     if register_views:
         for stem, df in tables.items():

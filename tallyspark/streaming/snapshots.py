@@ -21,20 +21,24 @@ from pyspark.sql import functions as F
 SNAPSHOT_SCHEMA = "pid string, name string, cpu_percent double, memory_percent double"
 SNAPSHOT_PREFIX = "sys_log"
 MAX_AGE_SECONDS = 300
-EPOCH_PATTERN = SNAPSHOT_PREFIX + r"=?(\d+(?:\.\d+)?)"
+EPOCH_PATTERN = "/" + SNAPSHOT_PREFIX + r"=?(\d+(?:\.\d+)?)"
 
 
 def with_snapshot_epoch(df: DataFrame, pattern: str = EPOCH_PATTERN, out: str = "snapshot_epoch") -> DataFrame:
-    """Add the snapshot's epoch seconds, read from the source file's path (``_metadata``)."""
-    epoch = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    return df.withColumn(out, F.floor(F.nullif(epoch, F.lit("")).try_cast("double")))
+    """Add the snapshot's epoch seconds with their fraction (double), read from the source
+    file's name, or else from the name of the folder that holds it (``_metadata``)."""
+    path = F.col("_metadata.file_path")
+    of_file = F.regexp_extract(path, pattern + "[^/]*$", 1)
+    of_folder = F.regexp_extract(path, pattern + "[^/]*/[^/]*$", 1)
+    epoch = F.coalesce(F.nullif(of_file, F.lit("")), F.nullif(of_folder, F.lit("")))
+    return df.withColumn(out, epoch.try_cast("double"))
 
 
 def snapshot_stream(
     spark: SparkSession,
     path: str,
     schema: str = SNAPSHOT_SCHEMA,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     with_epoch: bool = True,
     clean_source: str | None = None,
     archive_dir: str | None = None,

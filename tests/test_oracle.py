@@ -3,7 +3,8 @@
 import pytest
 from tests.helpers import SF001, SF0001, plan_text
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tallyspark.plans.registry import oracle_sql, queries
 from tests.oracle import compare, duck
 
 NAMES = sorted(queries())

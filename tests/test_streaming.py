@@ -32,9 +32,9 @@ def test_stream_totals_equal_batch_totals(spark):
 def test_stream_restart_resumes_from_checkpoint(spark):
     path = snapshot_files(spark, SF0001)
     out, ckpt = _dirs()
-    first = rows(run_complete(running_totals(snapshot_stream(spark, path)), out, ckpt))
+    first = rows(run_complete(running_totals(snapshot_stream(spark, path, max_files_per_trigger=1)), out, ckpt))
     # a second run with the same checkpoint sees no new files and leaves the result as is
-    second = rows(run_complete(running_totals(snapshot_stream(spark, path)), out, ckpt))
+    second = rows(run_complete(running_totals(snapshot_stream(spark, path, max_files_per_trigger=1)), out, ckpt))
     assert first == second
 
 
@@ -46,7 +46,7 @@ def test_fresh_snapshots_boundary(spark):
 def test_fresh_snapshots_stream_keeps_last_snapshot_only(spark):
     path = snapshot_files(spark, SF0001)
     out, ckpt = _dirs()
-    fresh = run_append(fresh_snapshots(snapshot_stream(spark, path), FRESH_AS_OF_EPOCH), out, ckpt)
+    fresh = run_append(fresh_snapshots(snapshot_stream(spark, path, max_files_per_trigger=1), FRESH_AS_OF_EPOCH), out, ckpt)
     epochs = {r.snapshot_epoch for r in fresh.select("snapshot_epoch").distinct().collect()}
     assert epochs == {FRESH_AS_OF_EPOCH - 300}
     all_epochs = {r.snapshot_epoch for r in snapshot_batch(spark, path).select("snapshot_epoch").distinct().collect()}
@@ -69,7 +69,7 @@ def test_clean_source_archives_consumed_files(spark):
     src = snapshot_files(spark, SF0001).rsplit("/sys_log=", 1)[0]
     shutil.copytree(src, base + "/in")
     out, ckpt = _dirs()
-    stream = snapshot_stream(spark, base + "/in/sys_log=*/*.csv", clean_source="archive", archive_dir=base + "/archive")
+    stream = snapshot_stream(spark, base + "/in/sys_log=*/*.csv", max_files_per_trigger=1, clean_source="archive", archive_dir=base + "/archive")
     got = run_append(stream, out, ckpt)
     assert got.count() == 1000
     archived = [f for _, _, fs in os.walk(base + "/archive") for f in fs if f.endswith(".csv")]
@@ -82,8 +82,8 @@ def test_update_mode_equals_complete_mode(spark):
     path = snapshot_files(spark, SF0001)
     out_c, ck_c = _dirs()
     out_u, ck_u = _dirs()
-    complete = run_complete(running_totals(snapshot_stream(spark, path), sort=False), out_c, ck_c)
-    update = run_update(running_totals(snapshot_stream(spark, path), sort=False), out_u, ck_u)
+    complete = run_complete(running_totals(snapshot_stream(spark, path, max_files_per_trigger=1), sort=False), out_c, ck_c)
+    update = run_update(running_totals(snapshot_stream(spark, path, max_files_per_trigger=1), sort=False), out_u, ck_u)
     r = lambda df: df.select("name", F.round("total_memory_percent", 6))
     assert rows(r(update)) == rows(r(complete))
     # the update log holds one row per changed key per batch, not the whole state per batch
