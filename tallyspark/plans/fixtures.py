@@ -21,11 +21,11 @@ from tallyspark.sources.testdata import memo_scan, register_tables
 # The stand-in view definitions.
 FIXTURE_SQL = {
     "trade_base": """
-select translate(n_name,'0123456789','abcdefghij') as country_or_area, cast(year(o_orderdate) as int) as year, cast(p_partkey as string) as comm_code, p_name as commodity, p_type as category, 'Export' as flow, cast(round(l_extendedprice*100) as bigint) as trade_usd
-from lineitem join orders on l_orderkey=o_orderkey join part on l_partkey=p_partkey join supplier on l_suppkey=s_suppkey join nation on s_nationkey=n_nationkey where s_suppkey % 10 < 2
+select translate(n_name,'0123456789','abcdefghij') as country_or_area, cast(year(o_orderdate) as int) as year, cast(p_partkey as string) as comm_code, p_name as commodity, p_type as category, case when s_suppkey % 10 < 2 then 'Export' else 'Re-Export' end as flow, cast(round(l_extendedprice*100) as bigint) as trade_usd
+from lineitem join orders on l_orderkey=o_orderkey join part on l_partkey=p_partkey join supplier on l_suppkey=s_suppkey join nation on s_nationkey=n_nationkey
 union all
-select translate(n_name,'0123456789','abcdefghij'), cast(year(o_orderdate) as int), cast(p_partkey as string), p_name, p_type, case when o_orderkey % 50 = 0 then null else 'Import' end, cast(round(l_extendedprice*100) as bigint)
-from lineitem join orders on l_orderkey=o_orderkey join part on l_partkey=p_partkey join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey where o_custkey % 10 < 8
+select translate(n_name,'0123456789','abcdefghij'), cast(year(o_orderdate) as int), cast(p_partkey as string), p_name, p_type, case when o_orderkey % 50 = 0 then null when o_custkey % 10 < 8 then 'Import' else 'Re-Import' end, cast(round(l_extendedprice*100) as bigint)
+from lineitem join orders on l_orderkey=o_orderkey join part on l_partkey=p_partkey join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey
 """,
     "trade": """
 select country_or_area,year,comm_code,commodity,category,flow,trade_usd from trade_base
@@ -38,9 +38,9 @@ concat(substr(cast(l_shipdate as string),6,2),'/',substr(cast(l_shipdate as stri
 from lineitem join orders on l_orderkey=o_orderkey join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey
 """,
     "credits_ida": """
-select translate(n_name,'0123456789','abcdefghij') as country, cast(round(l_extendedprice*100) as bigint) as original_principal_amount, l_tax*100 as service_charge_rate, case when l_returnflag='A' then 'Fully Repaid' when l_returnflag='N' and l_linestatus='F' then 'Fully Cancelled' else 'Repaying' end as credit_status,
+select concat(translate(n_name,'0123456789','abcdefghij'), case when s_suppkey % 10 < 2 then '' else ' (other)' end) as country, cast(round(l_extendedprice*100) as bigint) as original_principal_amount, l_tax*100 as service_charge_rate, case when l_returnflag='A' then 'Fully Repaid' when l_returnflag='N' and l_linestatus='F' then 'Fully Cancelled' else 'Repaying' end as credit_status,
 concat(substr(cast(l_shipdate as string),6,2),'/',substr(cast(l_shipdate as string),9,2),'/',substr(cast(l_shipdate as string),1,4),' 00:00:00') as last_repayment_date
-from lineitem join supplier on l_suppkey=s_suppkey join nation on s_nationkey=n_nationkey where s_suppkey % 10 < 2
+from lineitem join supplier on l_suppkey=s_suppkey join nation on s_nationkey=n_nationkey
 """,
     "crypto_rate": """
 select substr(cast(o_orderdate as string),1,10) as TimeId, substr(o_orderpriority,1,1) as CodeId, cast(min_by(o_totalprice,o_orderkey) as string) as Open, cast(max_by(o_totalprice,o_orderkey) as string) as Close, cast(max(o_totalprice) as string) as High, cast(min(o_totalprice) as string) as Low from orders group by 1,2
