@@ -230,8 +230,9 @@ def frequent_elements(described: DataFrame) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def list_entries(docs: DataFrame, text_col: str, frequent, boundary: int, buckets: int) -> DataFrame:
-    """Entries of the lists, packed by bucket of tokens (``bucket, tokens, owners, sizes,
-    overlaps``), and entries of the lists too long for one task (``list, owner, n, members``)."""
+    """Entries of the lists, packed by bucket of tokens (``bucket, tokens, overlaps``, and
+    ``owners, sizes, runs``: an owner's entries in a bucket follow each other), and entries of
+    the lists too long for one task (``list, owner, n, members``)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def entries_of(s: np.ndarray, order) -> tuple[np.ndarray, np.ndarray]:
@@ -265,7 +266,7 @@ def list_entries(docs: DataFrame, text_col: str, frequent, boundary: int, bucket
             if long.any():
                 k = int(long.sum())
                 yield batch_of(
-                    [pa.nulls(k, pa.int32()), *[pa.nulls(k, pa.binary())] * 4]
+                    [pa.nulls(k, pa.int32()), *[pa.nulls(k, pa.binary())] * 5]
                     + [pa.array(tokens[long].view(np.int64)), pa.array(owners[long]), pa.array(sizes[long]), pa.array(members[long])]
                 )
             tokens, owners, sizes, overlaps = (x[~long] for x in (tokens, owners, sizes, overlaps))
@@ -275,9 +276,19 @@ def list_entries(docs: DataFrame, text_col: str, frequent, boundary: int, bucket
             cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.empty(0, int)
             ends = np.append(cuts[1:], len(bucket))
             k = len(cuts)
+            first = np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (owners[1:] != owners[:-1]))) if k else np.empty(0, bool)
+            at = np.flatnonzero(first)
+            runs = np.diff(np.append(at, len(bucket))).astype(np.int32)
+            from_run, to_run = np.searchsorted(at, cuts), np.searchsorted(at, ends)
             packed = [
-                pa.array([x[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())
-                for x in (tokens, owners, sizes, overlaps)
+                pa.array([x[a:b].tobytes() for a, b in zip(lo, hi, strict=True)], pa.binary())
+                for x, lo, hi in (
+                    (tokens, cuts, ends),
+                    (owners[at], from_run, to_run),
+                    (sizes[at], from_run, to_run),
+                    (runs, from_run, to_run),
+                    (overlaps.astype(np.int8), cuts, ends),
+                )
             ]
             none = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())]
             yield batch_of([pa.array(bucket[cuts]), *packed, *none])
@@ -285,8 +296,8 @@ def list_entries(docs: DataFrame, text_col: str, frequent, boundary: int, bucket
     def batch_of(arrays) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    names = ["bucket", "tokens", "owners", "sizes", "overlaps", "list", "owner", "n", "members"]
-    schema = "bucket int, tokens binary, owners binary, sizes binary, overlaps binary, list long, owner long, n int, members long"
+    names = ["bucket", "tokens", "owners", "sizes", "runs", "overlaps", "list", "owner", "n", "members"]
+    schema = "bucket int, tokens binary, owners binary, sizes binary, runs binary, overlaps binary, list long, owner long, n int, members long"
     return docs.select(F.col(text_col).alias("text")).mapInArrow(scan, schema)
 
 
@@ -305,13 +316,14 @@ def propose(entries: DataFrame, boundary: int) -> DataFrame:
         return owners[i[ok]], owners[j[ok]]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[np.ndarray]] = [[], [], [], []]
+        parts: list[list[np.ndarray]] = [[], [], [], [], []]
         for batch in batches:
-            for i, kind in enumerate((np.uint64, np.int64, np.int32, np.int32)):
+            for i, kind in enumerate((np.uint64, np.int64, np.int32, np.int32, np.int8)):
                 parts[i] += [np.frombuffer(x, kind) for x in batch.column(i).to_pylist()]
         if not parts[0]:
             return
-        tokens, owners, sizes, overlaps = (np.concatenate(p) for p in parts)
+        tokens, owners, sizes, runs, overlaps = (np.concatenate(p) for p in parts)
+        owners, sizes = np.repeat(owners, runs), np.repeat(sizes, runs)
         order = np.lexsort((owners, tokens, overlaps))
         tokens, owners, sizes, overlaps = (x[order] for x in (tokens, owners, sizes, overlaps))
         new_list = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (overlaps[1:] != overlaps[:-1])))
@@ -350,7 +362,7 @@ def propose(entries: DataFrame, boundary: int) -> DataFrame:
     def batch_of(arrays) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(arrays, ["a", "b", "list", "owner", "n", "members"])
 
-    packed = entries.where("bucket is not null").select("tokens", "owners", "sizes", "overlaps", "bucket")
+    packed = entries.where("bucket is not null").select("tokens", "owners", "sizes", "runs", "overlaps", "bucket")
     return packed.repartition("bucket").mapInArrow(scan, "a long, b long, list long, owner long, n int, members long")
 
 
@@ -388,12 +400,13 @@ def near_pairs(members: DataFrame) -> DataFrame:
     return cell.groupBy("list", "salt", "block").applyInArrow(choose, "a long, b long")
 
 
-def crossing_pairs(members: DataFrame) -> DataFrame:
-    """Every pair of members of different components that may link, block against block."""
+def crossing_pairs(members: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Every pair of members of different components that may link, block against block. The
+    bitmaps are joined only to members of lists that hold several components."""
     mixed = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = mixed.where("low <> high").select("list")
     blocks = F.ceil(F.col("members") / LIST_BLOCK)
-    own = members.join(mixed, "list", "left_semi").withColumn("block", F.pmod(F.xxhash64("owner"), blocks))
+    own = members.join(mixed, "list", "left_semi").join(bitmaps.select("key", "bitmap"), "key").withColumn("block", F.pmod(F.xxhash64("owner"), blocks))
     cells = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     cells = cells.withColumns({"row": F.least("block", "other"), "col": F.greatest("block", "other")})
 
@@ -490,7 +503,7 @@ def connected(links: DataFrame) -> DataFrame:
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     spark = docs.sparkSession
-    described, _ = stage(describe(docs, id_col, text_col), "described")
+    described, described_path = stage(describe(docs, id_col, text_col), "described")
     rows = described.where("n is not null").select("doc_id", "n", "key", "bitmap")
     classes, _ = stage(
         rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")),
@@ -501,20 +514,24 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sizes = classes.where(F.col("n") <= 2 * MAX_SMALL).groupBy("n").count().collect()  # at most 2 * MAX_SMALL rows
     boundary = choose_boundary({r["n"]: r["count"] for r in sizes})
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries, entries_path = stage(list_entries(docs, text_col, frequent_elements(described), boundary, buckets), "entries")
-    proposed, _ = stage(propose(entries, boundary), "proposed")
+    frequent = frequent_elements(described)
+    rows, _ = stage(rows.select("doc_id", "n", "key"), "rows")
+    release(spark, described_path)  # the bitmaps are in the classes, the counts in the order
+    entries, entries_path = stage(list_entries(docs, text_col, frequent, boundary, buckets), "entries")
+    proposed, proposed_path = stage(propose(entries, boundary), "proposed")
     member_rows = proposed.where("list is not null").select("list", "owner", "n", "members").unionByName(
         entries.where("list is not null").select("list", "owner", "n", "members")
     )
     bitmaps = classes.select(F.col("short").alias("owner"), "key", "bitmap")
-    members, _ = stage(member_rows.distinct().join(bitmaps, "owner"), "members")
+    members, members_path = stage(member_rows.distinct(), "members")
     release(spark, entries_path)
 
-    pairs = proposed.where("a is not null").select("a", "b").union(near_pairs(members))
+    pairs = proposed.where("a is not null").select("a", "b").union(near_pairs(members.join(bitmaps, "owner")))
     links = verify(docs, classes, pairs, id_col, text_col)
     labels = connected(links)
-    known = members.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    crossing, _ = stage(crossing_pairs(known), "crossing")
+    known = members.join(bitmaps.select("owner", "key"), "owner").join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    crossing, _ = stage(crossing_pairs(known, bitmaps), "crossing")
+    release(spark, proposed_path, members_path)
     if not crossing.isEmpty():
         more = verify(docs, classes, crossing, id_col, text_col)
         labels = connected(links.union(more))
