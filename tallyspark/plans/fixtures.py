@@ -2,9 +2,9 @@
 
 The same SQL text runs in Spark (here, once per data directory, written as Parquet under the
 shared checkpoint folder) and in DuckDB (as CTEs of the oracle queries). The modulo
-predicates in the text shape the stand-in data (a subset of suppliers exports, some
-customers never import, some flows are null), so one-sided countries and null flows exist;
-every query still reads the whole derived table.
+expressions in the text only choose names (a supplier's flow is ``Export`` or ``Re-Export``, a
+country has a suffix, some flows are null), so one-sided countries and null flows exist;
+every source row is kept, and every query reads the whole derived table.
 """
 
 from __future__ import annotations

@@ -39,7 +39,7 @@ from tallyspark.operators import (
     totals_since,
 )
 from tallyspark.sources.files import load_tables, materialize_parquet
-from tallyspark.streaming.snapshots import running_totals, snapshot_stream
+from tallyspark.streaming.snapshots import few_state_stores, running_totals, snapshot_stream
 
 # The roll-up sentinels of the trade feed, per column.
 TRADE_TOTAL_CODE = {"comm_code": "TOTAL"}
@@ -189,7 +189,8 @@ def process_monitor(
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
-    return writer.start()
+    with few_state_stores(spark):
+        return writer.start()
 
 
 __all__ = [

@@ -12,7 +12,8 @@ Parquet file sink (append mode, no aggregation).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 SNAPSHOT_SCHEMA = "pid string, name string, cpu_percent double, memory_percent double"
 SNAPSHOT_PREFIX = "sys_log"
 MAX_AGE_SECONDS = 300
+STATE_PARTITIONS = 200  # state stores of a stream, at most
 EPOCH_PATTERN = "/" + SNAPSHOT_PREFIX + r"=?(\d+(?:\.\d+)?)"
 
 
@@ -113,6 +115,23 @@ def write_snapshot_files(df: DataFrame, path: str, epoch: str = "snapshot_epoch"
     )
 
 
+@contextmanager
+def few_state_stores(spark: SparkSession, most: int = STATE_PARTITIONS) -> Iterator[None]:
+    """Start a stateful stream inside this block: it gets at most ``most`` state stores.
+
+    A stream fixes its number of stores to the shuffle partitions of its first start and AQE
+    does not coalesce them, so a count sized for batch shuffles of many terabytes would open
+    as many stores in every micro-batch. The session's value is put back at the end.
+    """
+    key = "spark.sql.shuffle.partitions"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(was), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def run_complete(df: DataFrame, output_path: str, checkpoint_path: str) -> DataFrame:
     """Drive a streaming aggregate over all available files (``availableNow``), rewriting the
     full result as Parquet after each micro-batch; return that table."""
@@ -120,13 +139,14 @@ def run_complete(df: DataFrame, output_path: str, checkpoint_path: str) -> DataF
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(output_path)
 
-    query = (
-        df.writeStream.outputMode("complete")
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with few_state_stores(df.sparkSession):
+        query = (
+            df.writeStream.outputMode("complete")
+            .foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint_path)
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
     return df.sparkSession.read.parquet(output_path)
 
@@ -140,13 +160,14 @@ def run_update(df: DataFrame, output_path: str, checkpoint_path: str, key: str =
     def append_batch(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(output_path)
 
-    query = (
-        df.writeStream.outputMode("update")
-        .foreachBatch(append_batch)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with few_state_stores(df.sparkSession):
+        query = (
+            df.writeStream.outputMode("update")
+            .foreachBatch(append_batch)
+            .option("checkpointLocation", checkpoint_path)
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
     return latest_per_key(df.sparkSession.read.parquet(output_path), key)
 
@@ -178,6 +199,7 @@ __all__ = [
     "EPOCH_PATTERN",
     "MAX_AGE_SECONDS",
     "SNAPSHOT_SCHEMA",
+    "few_state_stores",
     "fresh_snapshots",
     "latest_per_key",
     "run_append",

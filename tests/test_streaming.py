@@ -1,3 +1,4 @@
+import os
 import tempfile
 
 from tests.helpers import SF0001, rows
@@ -98,3 +99,15 @@ def test_latest_per_key_absorbs_retried_batches(spark):
         [("a", 1.0, 0), ("a", 3.0, 1), ("a", 3.0, 1), ("b", 2.0, 0)], "name string, total double, batch_id long"
     )
     assert rows(latest_per_key(log)) == [("a", 3.0), ("b", 2.0)]
+
+
+def test_stream_state_stores_are_bounded(spark, monkeypatch):
+    from tallyspark.streaming import snapshots
+
+    key = "spark.sql.shuffle.partitions"
+    was = spark.conf.get(key)
+    monkeypatch.setattr(snapshots.few_state_stores.__wrapped__, "__defaults__", (3,))
+    out, ckpt = _dirs()
+    run_complete(running_totals(snapshot_stream(spark, snapshot_files(spark, SF0001)), sort=False), out, ckpt)
+    stores = [d for d in os.listdir(ckpt + "/state/0") if d.isdigit()]
+    assert len(stores) == 3 and spark.conf.get(key) == was
