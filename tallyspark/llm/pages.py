@@ -3,8 +3,11 @@
 1. Every page is parsed once into its element tree. Each block-level subtree outside the main
    content, and each one inside it that is not plain prose, gets a hash of its tag, class and
    id, its text and its children's hashes.
-2. Spark counts, per host, on how many pages each subtree occurs. Subtrees on at least
-   ``MIN_PAGES`` pages and ``MIN_SHARE`` of a host's pages are its template.
+2. Spark counts, per host, with how many different contents each subtree occurs: pages whose
+   main text outside the subtree is the same count once, so copies of a page do not make its
+   article a template. Subtrees on at least ``MIN_PAGES`` pages, with ``MIN_PAGES`` different
+   contents (or all of a host that has fewer; two at least) and with ``MIN_SHARE`` of the
+   host's different main texts are its template.
 3. Template subtrees are deleted, as are elements that by tag, role or class are menus,
    headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments.
    What is left of the main element (``article`` or ``main``; the whole body without one) is
@@ -153,57 +156,83 @@ def _main_nodes(root: Node) -> list[Node]:
     return found or [root]
 
 
-def page_parts(html: str | None) -> tuple[list[str], list[list[int]], list[int]]:
-    """Blocks of main text, for each the subtrees (by number) that could delete it, and the
-    hash of each such subtree."""
+def _word(digest: bytes) -> int:
+    return int.from_bytes(digest, "big", signed=True)
+
+
+def _signed(value: int) -> int:
+    """``value`` modulo 2 ** 64, as a signed long."""
+    return (value + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def page_parts(html: str | None) -> tuple[list[str], list[list[int]], list[int], list[int], int]:
+    """Blocks of main text, for each the subtrees (by number) that could delete it, the hash of
+    each such subtree, the digest of the main text outside that subtree, and of all main text.
+
+    A digest is the sum of the hashes of blocks, 0 without any."""
     blocks: list[str] = []
     within: list[list[int]] = []
     hashes: list[int] = []
+    inner: list[int] = []
     held: list[str] = []
+    total = 0
 
     def flush(above):
+        nonlocal total
         text = _SPACE.sub(" ", "".join(held)).strip()
         held.clear()
         if text:
             blocks.append(text)
             within.append(list(above))
-
-    def digest(node: Node, hashed: hashlib._Hash) -> None:
-        todo: list = [node]
-        while todo:
-            x = todo.pop()
-            if isinstance(x, Node):
-                hashed.update(f"<{x.tag} {x.sign}>".encode("utf-8", "surrogatepass"))
-                todo.append(f"</{x.tag}>")
-                todo += reversed(x.items)
-            elif x:
-                hashed.update(" ".join(x.split()).encode("utf-8", "surrogatepass"))
-
-    for main in _main_nodes(parse(html)):
-        whole_page = main.tag not in MAIN
-        todo: list = [(main, (), False)]
-        while todo:  # a loop, as pages may nest deeper than Python's stack
-            item, above, ended = todo.pop()
-            if ended:
+            total += _word(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest())
+
+    root = parse(html)
+    mains = _main_nodes(root)
+    whole_page = mains == [root]
+    started = {id(m) for m in mains}
+
+    # what is entered: item, hash of the parent, subtrees above, in main, text is kept;
+    # what is left: those of the element, its number or None, the sum when it was entered
+    todo: list = [("in", root, None, (), False, False)]
+    while todo:  # a loop, as pages may nest deeper than Python's stack
+        step, item, hashed, above, in_main, kept, *ended = todo.pop()
+        if step == "out":
+            parent, at, before = ended
+            if kept and item.tag not in INLINE:
                 flush(above)
-            elif item is None:
+            if parent is not None:
+                parent.update(hashed.digest())
+            if at is not None:
+                hashes[at], inner[at] = _word(hashed.digest()), total - before
+        elif item is None:
+            if kept:
                 flush(above)
-            elif isinstance(item, str):
+        elif isinstance(item, str):
+            if kept:
                 held.append(item)
-            elif not item.boilerplate(not whole_page) or item is main:
-                block = item.tag not in INLINE
-                if block:
-                    flush(above)
-                if block and item is not main and (whole_page or item.tag not in PROSE):
-                    hashed = hashlib.blake2b(digest_size=8)
-                    digest(item, hashed)
-                    above = (*above, len(hashes))
-                    hashes.append(int.from_bytes(hashed.digest(), "big", signed=True))
-                if block:
-                    todo.append((None, above, True))
-                todo += [(x, above, False) for x in reversed(item.items)]
-        flush(())
-    return blocks, within, hashes
+            if hashed is not None and item:
+                hashed.update(" ".join(item.split()).encode("utf-8", "surrogatepass"))
+        else:
+            main = id(item) in started
+            in_main = in_main or main
+            kept = main or (kept and not item.boilerplate(not whole_page))
+            block = item.tag not in INLINE
+            if block and kept:
+                flush(above)
+            own = hashlib.blake2b(f"<{item.tag} {item.sign}>".encode("utf-8", "surrogatepass"), digest_size=8)
+            at = None
+            if kept and block and not main and (whole_page or item.tag not in PROSE):
+                at = len(hashes)
+                above = (*above, at)
+                hashes.append(0)
+                inner.append(0)
+            todo.append(("out", item, own, above, in_main, kept, hashed, at, total))
+            todo += [("in", x, own, above, in_main, kept) for x in reversed(item.items)]
+    flush(())
+    inside: dict[int, int] = {}
+    for h, n in zip(hashes, inner, strict=True):
+        inside[h] = inside.get(h, 0) + n
+    return blocks, within, hashes, [_signed(total - inside[h]) for h in hashes], _signed(total)
 
 
 _PARTS = T.StructType(
@@ -211,12 +240,14 @@ _PARTS = T.StructType(
         T.StructField("blocks", T.ArrayType(T.StringType())),
         T.StructField("within", T.ArrayType(T.ArrayType(T.IntegerType()))),
         T.StructField("subtrees", T.ArrayType(T.LongType())),
+        T.StructField("outside", T.ArrayType(T.LongType())),
+        T.StructField("content", T.LongType()),
     ]
 )
 
 
 def parse_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """``page_id, url, host, blocks, within, subtrees`` of every page."""
+    """``page_id, url, host, blocks, within, subtrees, outside, content`` of every page."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 1 << 20):
@@ -225,6 +256,8 @@ def parse_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> D
                 pa.array([p[0] for p in parts], pa.list_(pa.string())),
                 pa.array([p[1] for p in parts], pa.list_(pa.list_(pa.int32()))),
                 pa.array([p[2] for p in parts], pa.list_(pa.int64())),
+                pa.array([p[3] for p in parts], pa.list_(pa.int64())),
+                pa.array([p[4] for p in parts], pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["page_id", "url", *_PARTS.names])
 
@@ -235,16 +268,27 @@ def parse_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> D
     return parsed.withColumn("host", host)
 
 
+def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """``host, subtree`` of the subtrees that recur, with their counts. Copies of a page have one
+    content, so an article copied on many pages does not recur."""
+    at = F.explode(F.array_distinct(F.arrays_zip("subtrees", "outside"))).alias("at")
+    seen = parsed.select("host", at).select("host", F.col("at.subtrees").alias("subtree"), F.col("at.outside").alias("outside"))
+    seen = seen.groupBy("host", "subtree", "outside").agg(F.count(F.lit(1)).alias("pages"))
+    counts = seen.groupBy("host", "subtree").agg(F.sum("pages").alias("on_pages"), F.count(F.lit(1)).alias("on_contents"))
+    contents = parsed.where("content <> 0").select("host", "content").distinct()
+    hosts = contents.groupBy("host").agg(F.count(F.lit(1)).alias("host_contents"))
+    recurs = (F.col("on_contents") >= F.least(F.lit(min_pages), "host_contents")) & (F.col("on_contents") >= min_share * F.col("host_contents"))
+    often = counts.where((F.col("on_pages") >= min_pages) & (F.col("on_contents") > 1))
+    return often.join(broadcast_if_small(hosts), "host").where(recurs)
+
+
 def main_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
     min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``."""
     parsed, _ = stage(parse_pages(pages, id_col, url_col, html_col), "parsed-pages")
-    seen = parsed.select("host", F.explode(F.array_distinct("subtrees")).alias("subtree"))
-    counts = seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("on_pages")).where(F.col("on_pages") >= min_pages)
-    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    template = counts.join(hosts, "host").where(F.col("on_pages") >= min_share * F.col("host_pages"))
+    template = templates(parsed, min_pages, min_share)
     # at most 1 / min_share times the subtrees of a mean page of the host
     template, _ = stage(template.groupBy("host").agg(F.collect_list("subtree").alias("gone")), "templates")
     none = F.array().cast("array<bigint>")

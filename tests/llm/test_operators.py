@@ -300,6 +300,18 @@ def test_templates_are_removed_and_articles_kept(spark):
     assert pages.main_text(empty(table)).count() == 0
 
 
+def test_copied_articles_are_content(spark):
+    wrapped = "<div>Site menu</div><article><div><h1>{0}</h1><p>Body of {0}</p></div></article>"
+    bare = "<div>Site menu</div><div><h1>{0}</h1><p>Body of {0}</p></div><div>All rights</div>"
+    for site in (wrapped, bare):  # one article on 6 of a host's 16 pages
+        titles = ["Copied" if i < 6 else f"Own {i}" for i in range(16)]
+        rows = [(i, f"https://h.example/{i}", site.format(t)) for i, t in enumerate(titles)]
+        rows += [(100 + i, None, site.format(t)) for i, t in enumerate(titles)]
+        table = spark.createDataFrame(rows, "page_id long, url string, html string")
+        got = {r.page_id: r.text for r in pages.main_text(table).collect()}
+        assert got == {k + i: f"{t}\nBody of {t}" for k in (0, 100) for i, t in enumerate(titles)}
+
+
 def test_every_article_of_the_table(spark):
     import html as h
 
