@@ -1,8 +1,8 @@
 """Main text of web pages with site template removal.
 
-1. Every page is parsed once into its element tree. Each block-level subtree outside the main
-   content, and each one inside it that is not plain prose, gets a hash of its tag, class and
-   id, its text and its children's hashes.
+1. Every page is parsed once into its element tree. Each block-level subtree of the whole page,
+   inside the main content and outside, gets a hash of its tag, class and id, its text and its
+   children's hashes.
 2. Spark counts, per host, with how many different contents each subtree occurs: pages whose
    main text outside the subtree is the same count once, so copies of a page do not make its
    article a template. Subtrees on at least ``MIN_PAGES`` pages, with ``MIN_PAGES`` different
@@ -13,8 +13,9 @@
    What is left of the main element (``article`` or ``main``; the whole body without one) is
    the text.
 
-Prose blocks of the main content (paragraphs, headings, quotes, lists of text) are never taken
-for templates: copies of an article on one host are content. Character references are decoded,
+Blocks of the main content (a notice or a list of links written as a paragraph or list) are
+counted like all others. Near copies of one article that differ in a paragraph are different
+contents, so where they reach the share above, the paragraphs they have in common go. Character references are decoded,
 white space inside a block becomes one space, and blocks are joined in page order by one line
 feed. Null html and pages without text give an empty string. Null urls share one host. Rows
 that repeat give repeated results. Only the id, url and html columns are read.
@@ -53,7 +54,7 @@ DROPPED = frozenset(
     "head script style noscript template nav footer aside form button select option textarea input label iframe object "
     "svg canvas dialog menu video audio map".split()
 )
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption".split())
+UNSEEN = frozenset("head script style noscript template iframe object svg canvas video audio map".split())  # no text of the page
 MAIN = frozenset(("article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _SIGNS = re.compile(
@@ -212,7 +213,7 @@ def page_parts(html: str | None) -> tuple[list[str], list[list[int]], list[int],
                 held.append(item)
             if hashed is not None and item:
                 hashed.update(" ".join(item.split()).encode("utf-8", "surrogatepass"))
-        else:
+        elif item.tag not in UNSEEN:
             main = id(item) in started
             in_main = in_main or main
             kept = main or (kept and not item.boilerplate(not whole_page))
@@ -221,7 +222,7 @@ def page_parts(html: str | None) -> tuple[list[str], list[list[int]], list[int],
                 flush(above)
             own = hashlib.blake2b(f"<{item.tag} {item.sign}>".encode("utf-8", "surrogatepass"), digest_size=8)
             at = None
-            if kept and block and not main and (whole_page or item.tag not in PROSE):
+            if block and item is not root:
                 at = len(hashes)
                 above = (*above, at)
                 hashes.append(0)

@@ -300,6 +300,17 @@ def test_templates_are_removed_and_articles_kept(spark):
     assert pages.main_text(empty(table)).count() == 0
 
 
+def test_recurring_prose_inside_articles_is_removed(spark):
+    site = "<nav>Home</nav><article><h1>T{0}</h1><p>Own text {0}</p><p>Get our weekly letter</p><ul><li>Tips<li>Jobs</ul></article><p>Legal</p>"
+    rows = [(i, f"https://h.example/{i}", site.format(i)) for i in range(12)]
+    rows += [(20, "https://other.example/x", "<article><p>Get our weekly letter</p></article>")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.main_text(table).collect()}
+    assert got == {**{i: f"T{i}\nOwn text {i}" for i in range(12)}, 20: "Get our weekly letter"}
+    # nav, main element and the blocks in and after it are hashed, the notice among them
+    assert len(pages.page_parts(site)[2]) == 9
+
+
 def test_copied_articles_are_content(spark):
     wrapped = "<div>Site menu</div><article><div><h1>{0}</h1><p>Body of {0}</p></div></article>"
     bare = "<div>Site menu</div><div><h1>{0}</h1><p>Body of {0}</p></div><div>All rights</div>"
