@@ -163,7 +163,9 @@ def top_k(
     vectors, _ = stage(integer_vectors(rows, id_col, vector_col).distinct(), "vectors")
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = vectors.repartition(groups, F.xxhash64("vec_id"))
-    candidates = pack(spread, block).withColumn("cell", F.pmod(F.xxhash64("ids"), F.lit(groups)))
+    # a block's rows and bytes follow the order of arrival, so both are written once: a repeated
+    # task of the search must meet the same blocks in the same cells
+    candidates, _ = stage(pack(spread, block).withColumn("cell", F.pmod(F.xxhash64("ids"), F.lit(groups))), "candidates")
     queries, _ = stage(pack(vectors.where(is_query).repartition(groups, F.xxhash64("vec_id")).coalesce(max(1, groups // 4)), block), "queries")
     asked = queries.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     asked = asked.select("cell", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "dim")

@@ -383,6 +383,15 @@ def test_top_k(spark):
     assert topk.top_k(empty(table), F.expr("vec_id % 50 = 0")).count() == 0
 
 
+def test_candidate_blocks_are_written_before_the_search(spark):
+    from tests.helpers import plan_text
+
+    table = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(60)], "vec_id long, embedding array<double>")
+    found = topk.top_k(table, F.expr("vec_id % 50 = 0"))
+    # blocks packed within the plan would be packed again, in another order, by a repeated task
+    assert len(re.findall(r"(?m)^\(\d+\) MapInArrow", plan_text(found))) == 1
+
+
 def test_bounds_are_above_products():
     rng = np.random.default_rng(5)
     a, b = rng.normal(size=(50, 30)) * 256, rng.normal(size=(60, 30)) * 256
