@@ -54,6 +54,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def exact_digest(text: Column) -> Column:
+    """SHA-256 of a text as it is; null for null."""
+    return F.sha2(text.cast("binary"), 256)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -32,9 +32,9 @@ Components
     component's label jumping to the label's own label, until nothing changes.
 
 Null texts and texts without words have no shingles and link with nothing; a document's
-``component_id`` is then its own doc_id. Rows that repeat a doc_id are one document if their
-texts agree, and linked through the id otherwise. A null doc_id gives a null component unless
-the row's set is that of other documents. Only the id and text columns are read.
+``component_id`` is then its own doc_id. Rows that repeat a doc_id, null ids among them, link
+by their own texts only, never through the id. A component's id is the smallest doc_id in it,
+null only when all are null. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm import words
-from tallyspark.llm.common import release, small_batches, stage
+from tallyspark.llm.common import exact_digest, fresh_name, release, small_batches, stage
 from tallyspark.operators.joins import broadcast_if_small
 
 K = 5
@@ -175,9 +175,10 @@ def _stretches(batches: Iterator[pa.RecordBatch]):
         yield ids, [set_key(x) for x in sets], sets
 
 
-def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def describe(docs: DataFrame, id_col: str, text_col: str, with_digest: bool = False) -> DataFrame:
     """A row per document (``doc_id, n, key, bitmap``) and a row per element that is frequent
-    in a stretch (``element, seen``), told apart by ``n``."""
+    in a stretch (``element, seen``), told apart by ``n``. With ``with_digest``, ``doc_id`` is a
+    struct of the id and the text's digest."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, keys, sets in _stretches(batches):
@@ -204,9 +205,11 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             )
 
     names = ["doc_id", "n", "key", "bitmap", "element", "seen"]
-    kinds = [docs.schema[id_col].dataType, T.LongType(), T.BinaryType(), T.BinaryType(), T.LongType(), T.LongType()]
+    doc_id = F.col(id_col).alias("doc_id")
+    read = docs.select(F.struct(doc_id, exact_digest(F.col(text_col)).alias("digest")).alias("doc_id") if with_digest else doc_id, F.col(text_col).alias("text"))
+    kinds = [read.schema["doc_id"].dataType, T.LongType(), T.BinaryType(), T.BinaryType(), T.LongType(), T.LongType()]
     schema = T.StructType([T.StructField(x, k) for x, k in zip(names, kinds, strict=True)])
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(scan, schema)
+    return read.mapInArrow(scan, schema)
 
 
 def frequent_elements(described: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -500,13 +503,19 @@ def connected(links: DataFrame) -> DataFrame:
             return labels
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``."""
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_keeper: bool = False) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id``; with ``with_keeper`` also its
+    text's ``digest`` and the ``keeper`` (``no_id, doc_id, digest``) of its component."""
     spark = docs.sparkSession
-    described, described_path = stage(describe(docs, id_col, text_col), "described")
-    rows = described.where("n is not null").select("doc_id", "n", "key", "bitmap")
+    described, described_path = stage(describe(docs, id_col, text_col, with_keeper), "described")
+    ids = ["doc_id.doc_id", "doc_id.digest"] if with_keeper else ["doc_id"]
+    rows = described.where("n is not null").select(*ids, "n", "key", "bitmap")
+    ids = ["doc_id", "digest"] if with_keeper else ["doc_id"]
+    # the row that stays: smallest id, nulls last, then smallest digest
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), *ids)
+    first = [F.min(place).alias("keeper")] if with_keeper else []
     classes, _ = stage(
-        rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")),
+        rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), *first),
         "classes",
     )
     classes = classes.withColumn("short", _long(F.col("key")))  # as short_key
@@ -515,7 +524,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     boundary = choose_boundary({r["n"]: r["count"] for r in sizes})
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frequent = frequent_elements(described)
-    rows, _ = stage(rows.select("doc_id", "n", "key"), "rows")
+    rows, _ = stage(rows.select(*ids, "n", "key"), "rows")
     release(spark, described_path)  # the bitmaps are in the classes, the counts in the order
     entries, entries_path = stage(list_entries(docs, text_col, frequent, boundary, buckets), "entries")
     proposed, proposed_path = stage(propose(entries, boundary), "proposed")
@@ -536,14 +545,16 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         more = verify(docs, classes, crossing, id_col, text_col)
         labels = connected(links.union(more))
 
-    parts = classes.select("key", "first_id").join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    lowest = parts.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_class = parts.join(lowest, "component").select("key", "component_id")
-    out = rows.select("doc_id", "n", "key").join(of_class, "key", "left")
+    kept = ["keeper"] if with_keeper else []
+    parts = classes.select("key", "first_id", *kept).join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    lowest = parts.groupBy("component").agg(F.min("first_id").alias("component_id"), *[F.min(c).alias(c) for c in kept])
+    of_class = parts.select("key", "component").join(lowest, "component").select("key", "component_id", *kept)
+    out = rows.select(*ids, "n", "key").join(of_class, "key", "left")
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *(["digest", "keeper"] if with_keeper else []),
     )
 
 
@@ -557,8 +568,15 @@ def _long(first_bytes):
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component stays, that with the smallest id; all columns are kept.
 
-    A row without shingles is a component of its own and stays.
+    Rows are addressed by id and text, so rows that share an id, null ids among them, go or stay
+    each by its own text; among rows of the smallest id, the smallest digest stays. Rows that
+    repeat an id and a text stay or go together. A row without shingles is a component of its
+    own and stays.
     """
-    found, _ = stage(components(docs, id_col, text_col), "components")
-    goes = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(goes, docs[id_col].eqNullSafe(goes["gone_id"]), "left_anti").select(*docs.columns)
+    found, _ = stage(components(docs, id_col, text_col, with_keeper=True), "components")
+    stays = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("digest") == F.col("keeper.digest"))
+    digest, key = fresh_name(docs.columns, "__digest"), fresh_name(docs.columns, "__id")
+    goes = found.where((F.col("n_shingles") > 0) & ~stays).select(F.col("digest").alias(digest), F.col("doc_id").alias(key)).distinct()
+    marked = docs.withColumn(digest, exact_digest(F.col(text_col)))
+    on = (marked[digest] == goes[digest]) & marked[id_col].eqNullSafe(goes[key])
+    return marked.join(goes, on, "left_anti").select(*docs.columns)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import fresh_name, stage, word_count
+from tallyspark.llm.common import exact_digest, fresh_name, stage, word_count
 from tallyspark.operators.joins import broadcast_if_small
 
 WEIGHTS = (5, 2, 1)
@@ -82,12 +82,19 @@ def mix(
 ) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken`` (and ``source``,
     ``repeats`` whole repetitions, ``extra`` words of the fractional one)."""
+    return _mix(docs, id_col, text_col, source_col, weights, budget, max_epochs, seed, [])
+
+
+def _mix(docs, id_col, text_col, source_col, weights, budget, max_epochs, seed, more: list[Column]) -> DataFrame:
+    """``mix`` with the columns ``more``, which also order rows of one hash, id and size."""
+    extra_names = docs.select(*more).columns if more else []
     rows, _ = stage(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
             order_hash(F.col(id_col), seed).alias("hash"),
+            *more,
         ),
         "sizes",
     )
@@ -122,7 +129,7 @@ def mix(
     easy = placed.where(~crosses).withColumn(
         "extra", F.when(F.col("bucket") <= F.col("last_whole"), F.col("size")).otherwise(0).cast("long")
     )
-    order = Window.partitionBy("source", "bucket").orderBy("hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("source", "bucket").orderBy("hash", "doc_id", "size", *extra_names).rowsBetween(Window.unboundedPreceding, 0)
     missing = F.col("rest") - F.col("at_before") - (F.sum("size").over(order) - F.col("size"))
     close = placed.where(crosses).withColumn("extra", F.greatest(F.lit(0).cast("long"), F.least("size", missing)))
     out = easy.unionByName(close)
@@ -135,19 +142,42 @@ def mix(
         "source",
         "repeats",
         "extra",
+        *extra_names,
     )
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights=WEIGHTS,
+    budget: float = BUDGET,
+    max_epochs: int = MAX_EPOCHS,
+    seed: str = SEED,
+) -> DataFrame:
     """The mixture itself: each document as often as the mix takes it, columns unchanged. The
     one document per source that is taken in part is there when at least half of it is taken.
+
+    Repetitions are those of a row's id, source and text. Rows that agree in all three share
+    theirs, and what does not divide evenly goes to the first of them.
     """
-    taken = mix(docs, id_col, **options)
+    taken = _mix(docs, id_col, text_col, source_col, weights, budget, max_epochs, seed, [exact_digest(F.col(text_col)).alias("digest")])
     times = F.col("repeats") + F.when((F.col("extra") > 0) & (2 * F.col("extra") >= F.col("size")), 1).otherwise(0)
-    key, n = fresh_name(docs.columns, "__mix_id"), fresh_name(docs.columns, "__times")
-    # rows that repeat an id share their repetitions evenly
-    picks = taken.groupBy(F.col("doc_id").alias(key)).agg((F.sum(times) / F.count(F.lit(1))).alias(n))
-    picks = picks.select(key, F.round(n).cast("int").alias(n)).where(F.col(n) > 0)
-    joined = docs.join(picks, docs[id_col].eqNullSafe(picks[key]))
-    repeated = joined.withColumn(n, F.explode(F.array_repeat(F.lit(1), F.col(n))))
+    names = ["__mix_id", "__mix_source", "__mix_digest", "__times", "__over", "__digest"]
+    key, source, sha, n, over, digest = (fresh_name(docs.columns, x) for x in names)
+    picks = taken.groupBy(F.col("doc_id").alias(key), F.col("source").alias(source), F.col("digest").alias(sha))
+    picks = picks.agg(F.sum(times).alias("total"), F.count(F.lit(1)).alias("rows")).where(F.col("total") > 0)
+    whole = F.floor(F.col("total") / F.col("rows")).cast("int").alias(n)
+    picks, _ = stage(picks.select(key, source, sha, whole, (F.col("total") % F.col("rows")).alias(over)), "picks")
+
+    marked = docs.withColumn(digest, exact_digest(F.col(text_col)))
+    same = marked[id_col].eqNullSafe(picks[key]) & marked[source_col].eqNullSafe(picks[source]) & marked[digest].eqNullSafe(picks[sha])
+    joined = marked.join(picks, same)
+    repeated = joined.where(F.col(over) == 0)
+    if not picks.where(F.col(over) > 0).isEmpty():  # only equal rows in which a source's target ends
+        order = Window.partitionBy(key, source, sha).orderBy(F.xxhash64(*[joined[c] for c, t in docs.dtypes if not t.startswith("map")]))
+        uneven = joined.where(F.col(over) > 0).withColumn(over, (F.row_number().over(order) <= F.col(over)).cast("int"))
+        repeated = repeated.unionByName(uneven.withColumn(n, F.col(n) + F.col(over)))
+    repeated = repeated.withColumn(n, F.explode(F.array_repeat(F.lit(1), F.col(n))))
     return repeated.select(*[repeated[c] for c in docs.columns])

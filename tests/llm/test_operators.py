@@ -478,3 +478,30 @@ def test_boundary_follows_the_cost():
     assert jaccard.choose_boundary({}) == 0
     assert jaccard.choose_boundary({3: 1000}) >= 3
     assert jaccard.choose_boundary({16: 1000, 15: 1000}) < 15
+
+
+def test_near_copies_go_by_id_and_text(spark):
+    near = BASE.split()
+    other = " ".join(f"other{i}" for i in range(40))
+    own = [" ".join(f"own{k}w{i}" for i in range(30)) for k in range(4)]
+    rows = [(1, BASE), (None, BASE + "once more"), (None, own[0]), (None, own[1]), (None, None)]  # null ids, one near copy
+    rows += [(7, " ".join(near[:-1])), (7, own[2])]  # a repeated id, one near copy
+    rows += [(None, other), (None, other + " end"), (5, own[3]), (5, own[3] + " end"), (5, own[3].upper())]  # near copies of one id
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(map(tuple, jaccard.drop_near_copies(docs).collect()))
+    single = Counter([(1, BASE), (None, own[0]), (None, own[1]), (None, None), (7, own[2])])
+    assert single - kept == Counter() and kept.total() == 7
+    assert sum(n for (i, t), n in kept.items() if i == 5) == 1
+    assert sum(n for (i, t), n in kept.items() if i is None and t and t.startswith("other0")) == 1
+
+
+def test_mixture_of_rows_that_share_an_id(spark):
+    rows = [(None, f"{s} " * n, s) for s, n in (("a", 9), ("a", 4), ("b", 50), ("c", 200), ("c", 90), ("c", 30))]
+    rows += [(1, "a " * 20, "a"), (2, "same text", "c"), (2, "same text", "c"), (2, "same text", "c"), (3, "c " * 500, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = mixing.mix(docs, budget=0.8).collect()
+    expected = Counter()  # sizes tell the texts of an id and source apart here
+    for r in taken:
+        expected[(r.doc_id, r.source, r["size"])] += r.repeats + (r.extra > 0 and 2 * r.extra >= r["size"])
+    got = Counter((r.doc_id, r.source, len(r.text.split())) for r in mixing.mixed_documents(docs, budget=0.8).collect())
+    assert got == +expected and len({n for (i, *_), n in expected.items() if i is None}) > 1
