@@ -353,6 +353,19 @@ def test_licenses(spark, odd_docs):
     assert licenses.scan(docs, templates=()).count() == 0
 
 
+def test_related_licenses_are_told_apart(spark):
+    known = dict(licenses.STANDARD)
+    names = ["GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "GPL-2.0-header", "GPL-3.0-header", "AGPL-3.0-header", "BSD-2-Clause-full"]
+    names += ["BSD-3-Clause-full", "MIT-full", "ISC-full", "CC-BY-4.0", "CC-BY-SA-4.0-notice", "Unlicense", "CC0-1.0"]
+    texts = {n: known[n] for n in names}
+    texts["both"] = known["GPL-2.0"] + " word" * 60 + known["GPL-3.0"]
+    docs = spark.createDataFrame([(n, "some words before it " + t + " and some after") for n, t in texts.items()], "doc_id string, text string")
+    got = {}
+    for r in licenses.scan(docs).collect():
+        got.setdefault(r.doc_id, set()).add(licenses.license_of(r.license_id))
+    assert got == {**{n: {licenses.license_of(n)} for n in names}, "both": {"GPL-2.0", "GPL-3.0"}}
+
+
 def plain_shingles(text):
     found = re.sub("[^a-z0-9]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text)).split()
     return {tuple(found[i : i + 5]) for i in range(len(found) - 4)} if len(found) >= 5 else {tuple(found)} - {()}
