@@ -66,25 +66,31 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         docs.select(F.col(id_col).alias("doc_id"), text_digest(F.col(text_col)).alias("digest")), "digests"
     )
     heavy, _ = stage(frequent_digests(rows, "digest", counters).coalesce(1), "heavy-digests")
-    # (digest, doc_id) with its number of identical rows: 1 unless rows repeat
-    ids = rows.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
 
     def winners(part: DataFrame) -> DataFrame:
         return part.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
 
+    def identical(part: DataFrame, *more: str) -> DataFrame:
+        """(digest, doc_id) with its number of identical rows: 1 unless rows repeat."""
+        return part.groupBy("digest", "doc_id", *more).agg(F.count(F.lit(1)).alias("copies"))
+
     top, _ = stage(winners(rows.join(F.broadcast(heavy), "digest")).coalesce(1), "heavy-winners")  # <= counters rows
+    # heavy rows meet their winner where they lie; only those equal to it are counted
+    settled = rows.join(F.broadcast(top), "digest")
+    wins = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    dropped = settled.where(~wins).withColumn("kept", F.lit(False))
+    tied = numbered(identical(settled.where(wins), "keep_id", "group_size"))
     light = rows.join(F.broadcast(heavy), "digest", "left_anti")
-    settled = ids.join(F.broadcast(top), "digest")
-    shuffled = ids.join(F.broadcast(heavy), "digest", "left_anti").join(winners(light), "digest")
-    both = settled.unionByName(shuffled)
-    numbered = both.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return numbered.select(
-        "doc_id",
-        "keep_id",
-        "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-        F.col("digest").alias("text_sha256"),
-    )
+    shuffled = numbered(identical(light).join(winners(light), "digest"))
+    both = dropped.unionByName(tied).unionByName(shuffled)
+    return both.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+def numbered(counted: DataFrame) -> DataFrame:
+    """The rows counted in ``copies``, of which the first stays where its id is the winner's."""
+    rows = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
+    return rows.select("digest", "doc_id", "keep_id", "group_size", stays.alias("kept"))
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:

@@ -86,6 +86,19 @@ def test_exact_dedup(spark, odd_docs, counters):
     assert exact_dedup.duplicate_groups(empty(odd_docs)).count() == 0
 
 
+def test_heavy_rows_are_not_shuffled(spark):
+    import contextlib
+    import io
+
+    docs = spark.createDataFrame([(i, "hot" if i % 2 else f"t{i}") for i in range(400)], "doc_id long, text string")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        exact_dedup.duplicate_groups(docs, counters=10).explain()
+    # what is counted by (digest, doc_id) was joined with the heavy digests or their winners before
+    below = re.findall(r"HashAggregate\(keys=\[digest#\d+, doc_id#\d+L[^\n]*partial_count(.*?)FileScan", out.getvalue(), re.S)
+    assert len(below) == 2 and all("BroadcastHashJoin" in b for b in below)
+
+
 def test_summaries_never_overcount_and_find_heavy_rows():
     import pandas as pd
 
