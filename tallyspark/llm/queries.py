@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import archives, exact_dedup, grading, jaccard, licenses, mixing, pages, pieces, private, topk
+from tallyspark.llm import (
+    archives,
+    clusters,
+    exact_dedup,
+    fingerprints,
+    grading,
+    infilling,
+    jaccard,
+    licenses,
+    mixing,
+    pages,
+    pieces,
+    private,
+    topk,
+)
 from tallyspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +139,65 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND copy
 )
 def op10(spark, sf):
     return exact_dedup.duplicate_groups(read(spark, sf, "documents"))
+
+
+_FORM = f"""CASE WHEN t = '' OR contains(t, '{infilling.PREFIX}') OR contains(t, '{infilling.SUFFIX}') OR contains(t, '{infilling.MIDDLE}')
+  OR h3 % 100 >= {infilling.TRANSFORMED_PERCENT} THEN 'plain' WHEN h4 % 100 < {infilling.SPM_PERCENT} THEN 'spm' ELSE 'psm' END"""
+
+
+def _group(number: int) -> str:
+    return f"CAST('0x' || substr(h, {8 * number + 1}, 8) AS BIGINT) AS h{number + 1}"
+
+
+@query(
+    "op11_fill_in_middle",
+    f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{infilling.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+g AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, {", ".join(_group(i) for i in range(4))} FROM d),
+c AS (SELECT doc_id, t, n, {_FORM} AS form, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM g),
+p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+sha256(CASE form WHEN 'plain' THEN t
+  WHEN 'psm' THEN '{infilling.PREFIX}' || prefix || '{infilling.SUFFIX}' || suffix || '{infilling.MIDDLE}' || middle
+  ELSE '{infilling.SUFFIX}' || suffix || '{infilling.PREFIX}' || prefix || '{infilling.MIDDLE}' || middle END) AS output_sha256,
+sha256(t) AS restored_sha256 FROM p""",
+)
+def op11(spark, sf):
+    return infilling.digests(read(spark, sf, "documents"))
+
+
+@query("op12_simhash_fingerprints")
+def op12(spark, sf):
+    return fingerprints.report(read(spark, sf, "documents"), F.expr("doc_id % 20 = 0"))
+
+
+def _lloyd() -> str:
+    """The rounds written out: c<i> are the centroids, a<i> the assignment to them."""
+    square = "CAST(list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+    steps = [
+        f"""v AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor({clusters.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {clusters.DIM} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {clusters.DIM})""",
+        f"""c0 AS (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS cluster, v FROM
+  (SELECT v, sha256('{clusters.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM v) QUALIFY cluster < {clusters.K})""",
+    ]
+    for i in range(clusters.ROUNDS + 1):
+        steps.append(
+            f"""a{i} AS (SELECT row, vec_id, v, cluster, distance FROM (SELECT v.row, v.vec_id, v.v, c.cluster, {square} AS distance FROM v, c{i} c)
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1)"""
+        )
+        if i < clusters.ROUNDS:
+            steps.append(
+                f"""s{i} AS (SELECT cluster, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{i})
+  GROUP BY cluster, pos),
+m{i} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS v FROM s{i} GROUP BY cluster),
+c{i + 1} AS (SELECT c{i}.cluster, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (cluster))"""
+            )
+    last = clusters.ROUNDS
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, a.cluster, distance, CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{last} a JOIN c{last} c USING (cluster)"""
+
+
+@query("op13_centroid_clusters", _lloyd())
+def op13(spark, sf):
+    return clusters.cluster(read(spark, sf, "embeddings"))
