@@ -1,10 +1,9 @@
 """Column-level functions: labels, dates, ratios, casts."""
 
+from tallyspark.functions.binned import exact_totals, final_totals, partial_totals
 from tallyspark.functions.columns import (
     as_col,
     cast_columns,
-    exact_mean,
-    exact_sum,
     exclude_values,
     null_safe_on,
     percent_of,
@@ -21,13 +20,14 @@ __all__ = [
     "cast_columns",
     "days_until",
     "epoch_seconds",
-    "exact_mean",
-    "exact_sum",
+    "exact_totals",
     "exclude_values",
+    "final_totals",
     "magnitude_label",
     "magnitude_label_sql",
     "null_safe_on",
     "parse_date",
+    "partial_totals",
     "percent_of",
     "safe_ratio",
 ]

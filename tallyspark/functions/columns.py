@@ -37,34 +37,6 @@ def percent_of(part, whole) -> Column:
     return safe_ratio(part, whole) * F.lit(100)
 
 
-def _fixed(c: Column, scale: int) -> tuple[Column, Column]:
-    """The value as ``DECIMAL(38, scale)``, and whether that keeps nine digits or more of every
-    value of the group."""
-    fixed, plain = c.try_cast(f"decimal(38,{scale})"), c.cast("double")
-    kept = c.isNull() | F.coalesce(F.abs(fixed.cast("double") - plain) <= F.abs(plain) * 1e-9, F.lit(False))
-    return fixed, F.coalesce(F.bool_and(kept), F.lit(True))
-
-
-def exact_sum(c, scale: int = 10) -> Column:
-    """Aggregate: sum returned as double. When every value of the group keeps
-    nine digits as ``DECIMAL(38, scale)``, the sum is computed there: decimal addition is exact,
-    so the result does not depend on partitioning or row order. Otherwise (smaller, larger or
-    non-finite values) it is the plain sum of doubles."""
-    c = as_col(c)
-    fixed, lossless = _fixed(c, scale)
-    plain = F.sum(c.cast("double"))
-    return F.when(lossless, F.coalesce(F.try_sum(fixed).cast("double"), plain)).otherwise(plain)
-
-
-def exact_mean(c, scale: int = 10) -> Column:
-    """Aggregate: mean returned as double, on decimals when they keep nine digits of every value of
-    the group and on doubles otherwise, as in ``exact_sum``."""
-    c = as_col(c)
-    fixed, lossless = _fixed(c, scale)
-    plain = F.avg(c.cast("double"))
-    return F.when(lossless, F.coalesce(F.try_avg(fixed).cast("double"), plain)).otherwise(plain)
-
-
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast named columns once at ingest (text feeds become numbers/dates here, not in every
     comparison). Unparseable text becomes null instead of failing the job."""

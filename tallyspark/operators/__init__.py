@@ -1,7 +1,7 @@
 """DataFrame-in, DataFrame-out operators. None of them creates a session, prints or collects."""
 
 from tallyspark.operators.balance import balance, balance_by_period, balance_from_totals, balance_leaderboard
-from tallyspark.operators.joins import broadcast_if_small, join_on_keys
+from tallyspark.operators.joins import broadcast_if_small, join_dimension, join_on_keys
 from tallyspark.operators.lending import (
     blended_rate,
     group_profile,
@@ -12,6 +12,7 @@ from tallyspark.operators.lending import (
     share_of_total,
 )
 from tallyspark.operators.market import (
+    DailyPrices,
     attach_daily_map,
     coin_map_per_day,
     daily_basket,
@@ -30,6 +31,7 @@ from tallyspark.operators.ranking import (
 )
 
 __all__ = [
+    "DailyPrices",
     "attach_daily_map",
     "balance",
     "balance_by_period",
@@ -46,6 +48,7 @@ __all__ = [
     "enrich_facts",
     "group_profile",
     "harmonize_columns",
+    "join_dimension",
     "join_on_keys",
     "leader_in_group",
     "open_only",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -17,6 +16,9 @@ from tallyspark.functions.columns import null_safe_on
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
+#: Keys that are split off a shuffle at most: those with more than this share of one of the rows.
+HEAVY_KEYS = 1000
+
 _FIXED_WIDTH = 8
 _NESTED_FACTOR = 4  # a value takes at least two characters as JSON and eight bytes in a row
 
@@ -58,7 +60,8 @@ def broadcast_if_small(
 
 def stage(df: DataFrame) -> tuple[DataFrame, int]:
     """Write ``df`` once as Parquet under the shared checkpoint folder and return the scan of
-    that table with its row count, observed during the write (no second job).
+    that table with its row count, observed during the write (no second job). The folder belongs
+    to the open ``Scratch``.
 
     Use it where one intermediate feeds several branches of a plan whose column sets
     differ (Spark cannot reuse their exchanges, so the intermediate would be recomputed per
@@ -69,19 +72,19 @@ def stage(df: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _stage(df: DataFrame) -> tuple[DataFrame, int, int]:
-    from tallyspark.session import scratch_path
+    from tallyspark.scratch import new_folder
 
     spark = df.sparkSession
-    path = scratch_path(spark, "stages", uuid.uuid4().hex)
+    path = new_folder(spark, "stages", "table")
     size = Observation()
     df.observe(size, *size_probe(df)).write.mode("overwrite").parquet(path)
     got = size.get
-    return spark.read.parquet(path), int(got["rows"]), int(got["bytes"])
+    return spark.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"])
 
 
-def materialize_small(
+def settle(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> DataFrame:
+) -> tuple[DataFrame, bool]:
     """Settle the join strategy for an aggregate computed inside a plan before the big side runs.
 
     Left to the planner, such an aggregate is estimated at about its input's size, so a
@@ -90,10 +93,52 @@ def materialize_small(
     checkpoint folder (one job; its lineage is cut, so a lost executor does not recompute
     it); its rows and bytes are observed during that same write (``Observation``), and it is
     hinted for broadcast only within both bounds. Otherwise the written table feeds an
-    ordinary shuffle join.
+    ordinary shuffle join. Returns the table and whether it is broadcast.
     """
     saved, rows, nbytes = _stage(df)
-    return F.broadcast(saved) if fits_broadcast(rows, nbytes, max_rows, max_bytes) else saved
+    small = fits_broadcast(rows, nbytes, max_rows, max_bytes)
+    return (F.broadcast(saved) if small else saved), small
+
+
+def materialize_small(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """``settle`` for callers that join the table either way."""
+    return settle(df, max_rows, max_bytes)[0]
+
+
+def join_dimension(
+    facts: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
+    heavy_keys: int = HEAVY_KEYS,
+) -> DataFrame:
+    """Inner join of facts to a dimension; the dimension's key column is dropped.
+
+    Within the bounds the dimension is broadcast. Beyond them the facts must be shuffled by the
+    key, and a key that holds a third of them would meet in one task. So the keys with more than
+    ``1 / heavy_keys`` of the facts (at most ``heavy_keys`` of them, found by a partial
+    aggregate) are split off: their dimension rows are few and are broadcast, and their facts stay
+    where they lie. Only the others are shuffled.
+    """
+    probe = dim.agg(*size_probe(dim)).first()
+    dim = dim.withColumnRenamed(dim_key, "__dim_key")
+    on = F.col(fact_key) == F.col("__dim_key")
+    if fits_broadcast(probe["rows"], probe["bytes"], max_rows, max_bytes):
+        return facts.join(F.broadcast(dim), on, "inner").drop("__dim_key")
+    per_key = facts.where(F.col(fact_key).isNotNull()).groupBy(F.col(fact_key).alias("__heavy")).agg(F.count(F.lit(1)).alias("__n"))
+    total = per_key.select(F.sum("__n")).scalar()
+    heavy, few = settle(per_key.where(F.col("__n") * F.lit(heavy_keys) > total).select("__heavy"), heavy_keys)
+    if few:
+        theirs, few = settle(dim.join(heavy, F.col("__dim_key") == F.col("__heavy"), "left_semi"))
+    if not few:  # keys too wide, or a dimension that repeats its heavy keys too often
+        return facts.join(dim, on, "inner").drop("__dim_key")
+    held = facts.join(theirs, on, "inner")
+    rest = facts.join(heavy, F.col(fact_key) == F.col("__heavy"), "left_anti").join(dim, on, "inner")
+    return held.unionByName(rest).drop("__dim_key")
 
 
 def join_on_keys(
@@ -142,9 +187,11 @@ __all__ = [
     "BROADCAST_MAX_ROWS",
     "broadcast_if_small",
     "fits_broadcast",
+    "join_dimension",
     "join_on_keys",
     "materialize_small",
     "null_safe_on",
+    "settle",
     "size_probe",
     "stage",
     "total_order",

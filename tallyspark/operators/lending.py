@@ -1,7 +1,7 @@
 """Lending reports: share of total (L2/L5), group profile (L4), open position (L6), blended
 rate across two feeds (L7) and column harmonisation (L8).
 
-All per-key figures are one hash aggregate. The worldwide total is a scalar subquery over the
+All per-key figures are one aggregation, exact whatever the row order. The worldwide total is a scalar subquery over the
 aggregated rows (one value, executed once and inlined), not an empty ``over()`` window that
 would pull every row into one partition.
 """
@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions.binned import exact_totals
 from tallyspark.functions.columns import percent_of
 from tallyspark.functions.dates import LOAN_DATE_FORMAT, days_until, parse_date
 
@@ -41,8 +42,8 @@ def share_of_total(
 ) -> DataFrame:
     """Total per ``key``, the grand total and the key's percentage of it, largest first.
     A zero grand total gives a null percentage."""
-    per_key = df.groupBy(key).agg(F.sum(measure).alias(out))
-    grand_total = per_key.select(F.sum(out)).scalar()
+    per_key = exact_totals(df, [key], sums={out: measure})
+    grand_total = exact_totals(per_key, [], sums={total_out: out}).scalar()
     return (
         per_key.withColumn(total_out, grand_total)
         .withColumn(percent_out, percent_of(out, total_out))
@@ -61,14 +62,15 @@ def group_profile(
     measure: str = "original_principal_amount",
     rate: str = "interest_rate",
 ) -> DataFrame:
-    """Per ``key``: number of loans (``count(key)``, so the null-key group counts 0), mean
+    """Per ``key``: number of loans (``count(key)``, so the null-key group counts 0), exact mean
     rate and total amount; lowest mean rate first."""
     return (
-        df.groupBy(key)
-        .agg(
-            F.count(key).alias("number_of_loans"),
-            F.avg(rate).alias("avg_interest_rate"),
-            F.sum(measure).alias("total_loans_amount"),
+        exact_totals(
+            df,
+            [key],
+            sums={"total_loans_amount": measure},
+            means={"avg_interest_rate": rate},
+            counts={"number_of_loans": key},
         )
         .select(key, "number_of_loans", "avg_interest_rate", "total_loans_amount")
         .orderBy(F.col("avg_interest_rate").asc_nulls_first())
@@ -87,14 +89,16 @@ def open_position(
 ) -> DataFrame:
     """Open loans per ``key``: total amount, mean rate and the latest repayment date (text
     parsed as a date first, so the maximum is a date maximum); largest total first."""
+    dated = open_only(df, status, closed).withColumn("due_date", parse_date(due, due_format))
     return (
-        open_only(df, status, closed)
-        .groupBy(key)
-        .agg(
-            F.sum(measure).alias("total_loans_amount"),
-            F.avg(rate).alias("avg_interest_rate"),
-            F.max(parse_date(due, due_format)).alias("due_date"),
+        exact_totals(
+            dated,
+            [key],
+            sums={"total_loans_amount": measure},
+            means={"avg_interest_rate": rate},
+            maxima={"due_date": "due_date"},
         )
+        .select(key, "total_loans_amount", "avg_interest_rate", "due_date")
         .orderBy(F.col("total_loans_amount").desc())
     )
 

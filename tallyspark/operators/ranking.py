@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions.binned import exact_totals
 from tallyspark.functions.columns import as_list, exclude_values
 from tallyspark.functions.labels import magnitude_label
 from tallyspark.operators.joins import materialize_small, stage, total_order
@@ -57,8 +58,8 @@ def ranked_totals(
     exclude=None,
     label: bool = False,
 ) -> DataFrame:
-    """Sum of ``measure`` per ``keys``, largest first; optionally labelled in place."""
-    agg = exclude_values(df, exclude).groupBy(*as_list(keys)).agg(F.sum(measure).alias(out))
+    """Exact sum of ``measure`` per ``keys``, largest first; optionally labelled in place."""
+    agg = exact_totals(exclude_values(df, exclude), as_list(keys), sums={out: measure})
     ordered = agg.orderBy(F.col(out).desc())
     return ordered.withColumn(out, magnitude_label(out)) if label else ordered
 
@@ -69,9 +70,9 @@ def ranked_means(
     measure: str = "interest_rate",
     out: str = "avg_interest_rate",
 ) -> DataFrame:
-    """Mean of ``measure`` per ``keys``, smallest first. A group with only null measures has a
-    null mean and sorts first."""
-    agg = df.groupBy(*as_list(keys)).agg(F.avg(measure).alias(out))
+    """Exact mean of ``measure`` per ``keys``, smallest first. A group with only null measures has
+    a null mean and sorts first."""
+    agg = exact_totals(df, as_list(keys), means={out: measure})
     return agg.orderBy(F.col(out).asc_nulls_first())
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.session import scratch_path
 from tallyspark.functions.columns import cast_columns
-from tallyspark.sources.files import content_bytes, is_complete, materialize
+from tallyspark.sources.files import complete_copy, content_bytes, materialize
 from tallyspark.sources.testdata import memo_scan, register_tables
 
 # The stand-in view definitions.
@@ -112,8 +112,9 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = scratch_path(spark, "fixtures", f"{name}-{_key(sf_dir, name)}")
 
     def build() -> DataFrame:
-        if is_complete(spark, path):
-            return spark.read.parquet(path)
+        done = complete_copy(spark, path)
+        if done:
+            return spark.read.parquet(done)
         register_tables(spark, sf_dir)
         for dep in FIXTURE_DEPS.get(name, ()):
             fixture(spark, sf_dir, dep).createOrReplaceTempView(dep)

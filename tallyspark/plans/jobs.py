@@ -1,20 +1,23 @@
 """Whole jobs: the reference's entry points as functions over the caller's files.
 
 Each job ingests its feed once (CSV → Parquet copy under ``out_dir``), then returns its
-reports as a dict of lazy DataFrames; nothing is printed or collected. A caller writes or
-shows what it needs, and Spark runs each report as its own plan.
+reports by name (``Reports``); nothing is printed or collected. A report is built when it is first
+asked for, so a caller who wants one runs no job of the others, and what several share is built
+once. A caller writes or shows what it needs, and Spark runs each report as its own plan.
+Feeds are read once where a schema is given; without one, types are inferred in one more pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyspark.functions.columns import cast_columns
 from tallyspark.operators import (
-    attach_daily_map,
+    DailyPrices,
     balance,
     balance_by_period,
     balance_leaderboard,
@@ -29,7 +32,6 @@ from tallyspark.operators import (
     leader_in_group,
     open_position,
     open_share_of_total,
-    peer_mean,
     period_comparison,
     period_totals,
     ranked_means,
@@ -38,8 +40,10 @@ from tallyspark.operators import (
     top_with_ties,
     totals_since,
 )
-from tallyspark.sources.files import load_tables, materialize_parquet
-from tallyspark.streaming.snapshots import few_state_stores, running_totals, snapshot_stream
+from tallyspark.operators.joins import total_order
+from tallyspark.scratch import Scratch, session_scratch
+from tallyspark.sources.files import load_tables, materialize_parquet, read_csv
+from tallyspark.streaming.snapshots import fresh_snapshots, running_totals, snapshot_stream, start_totals
 
 # The roll-up sentinels of the trade feed, per column.
 TRADE_TOTAL_CODE = {"comm_code": "TOTAL"}
@@ -63,6 +67,40 @@ MARKET_TYPES = {
 }
 
 
+class Reports(Mapping[str, DataFrame]):
+    """Reports by name, each built at its first use. The intermediates they wrote belong to the
+    reports and are deleted by ``close``, or at the end of a ``with`` block, when nothing reads
+    the reports any more; else at exit."""
+
+    def __init__(self, spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._scratch = Scratch(spark)
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+        session_scratch(spark).after(self._scratch)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            with self._scratch.building():
+                self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def close(self) -> None:
+        self._built.clear()
+        self._scratch.close()
+
+    def __enter__(self) -> Reports:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.close()
+
+
 def trade_reports(
     spark: SparkSession,
     csv_path: str,
@@ -70,43 +108,46 @@ def trade_reports(
     since: int = 2010,
     leaderboard_size: int = 200,
     countries: Iterable[str] | None = None,
-) -> dict[str, DataFrame]:
-    """Commodity trade reports over a header CSV (types inferred once, kept as Parquet)."""
-    trades = clean_rows(materialize_parquet(spark, csv_path, out_dir))
-    exports = totals_since(trades, "Export", since)
-    imports = totals_since(trades, "Import", since)
-    balances = balance(trades, since)
-    reports = {
-        "clean_rows": trades,
-        "top_with_ties": top_with_ties(trades, exclude=TRADE_TOTAL_CODE),
-        "ranked_totals_commodity": ranked_totals(
-            trades, ["commodity", "flow"], "trade_usd", exclude=TRADE_ALL_COMMODITIES, label=True
-        ),
-        "ranked_totals_category": ranked_totals(
-            trades, ["category", "flow"], "trade_usd", exclude=TRADE_ALL_CATEGORIES, label=True
-        ),
-        "leader_in_group": leader_in_group(trades, exclude=TRADE_ALL_CATEGORIES),
-        "period_totals": period_totals(trades),
-        "totals_since_import": imports,
-        "totals_since_export": exports,
+    schema=None,
+) -> Reports:
+    """Commodity trade reports over a header CSV (types given by ``schema`` or inferred once, kept
+    as Parquet)."""
+    trades = clean_rows(materialize_parquet(spark, csv_path, out_dir, schema=schema))
+
+    @cache
+    def balances() -> DataFrame:
+        return balance(trades, since)
+
+    def totals(item: str, exclude: Mapping[str, str]) -> DataFrame:
+        return ranked_totals(trades, [item, "flow"], "trade_usd", exclude=exclude, label=True)
+
+    builders = {
+        "clean_rows": lambda: trades,
+        "top_with_ties": lambda: top_with_ties(trades, exclude=TRADE_TOTAL_CODE),
+        "ranked_totals_commodity": lambda: totals("commodity", TRADE_ALL_COMMODITIES),
+        "ranked_totals_category": lambda: totals("category", TRADE_ALL_CATEGORIES),
+        "leader_in_group": lambda: leader_in_group(trades, exclude=TRADE_ALL_CATEGORIES),
+        "period_totals": lambda: period_totals(trades),
+        "totals_since_import": lambda: totals_since(trades, "Import", since),
+        "totals_since_export": lambda: totals_since(trades, "Export", since),
         "balance": balances,
-        "balance_leaderboard": balance_leaderboard(balances, leaderboard_size),
-        "balance_by_period": balance_by_period(trades),
+        "balance_leaderboard": lambda: balance_leaderboard(balances(), leaderboard_size),
+        "balance_by_period": lambda: balance_by_period(trades),
     }
     for country in countries or ():
-        reports[f"balance_by_period:{country}"] = balance_by_period(trades, country=country)
-    return reports
+        builders[f"balance_by_period:{country}"] = lambda country=country: balance_by_period(trades, country=country)
+    return Reports(spark, builders)
 
 
-def lending_reports(spark: SparkSession, source: DataFrame) -> dict[str, DataFrame]:
-    """The six reports of one loan feed (already in the common schema)."""
+def lending_reports(source: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of the six reports of one loan feed (already in the common schema)."""
     return {
-        "totals": ranked_totals(source, "country", "original_principal_amount", out="total_loans_amount"),
-        "share": share_of_total(source),
-        "mean_rate": ranked_means(source),
-        "profile": group_profile(source),
-        "open_share": open_share_of_total(source),
-        "open_position": open_position(source),
+        "totals": lambda: ranked_totals(source, "country", "original_principal_amount", out="total_loans_amount"),
+        "share": lambda: share_of_total(source),
+        "mean_rate": lambda: ranked_means(source),
+        "profile": lambda: group_profile(source),
+        "open_share": lambda: open_share_of_total(source),
+        "open_position": cache(lambda: open_position(source)),
     }
 
 
@@ -116,31 +157,35 @@ def loan_reports(
     credits_csv: str,
     out_dir: str,
     as_of,
-) -> dict[str, DataFrame]:
+    loans_schema=None,
+    credits_schema=None,
+) -> Reports:
     """Loan and credit feeds: headers normalised, credits harmonised to the loan schema, six
     reports per feed (``loans:*``, ``credits:*``) and the blended rate across both."""
     base = out_dir.rstrip("/")
-    loans = materialize_parquet(spark, loans_csv, f"{base}/loans", normalize=True)
-    credits = harmonize_columns(materialize_parquet(spark, credits_csv, f"{base}/credits", normalize=True))
-    reports = {f"loans:{k}": v for k, v in lending_reports(spark, loans).items()}
-    reports.update({f"credits:{k}": v for k, v in lending_reports(spark, credits).items()})
-    reports["blended_rate"] = blended_rate(reports["loans:open_position"], reports["credits:open_position"], as_of)
-    return reports
+    loans = materialize_parquet(spark, loans_csv, f"{base}/loans", normalize=True, schema=loans_schema)
+    credits = harmonize_columns(materialize_parquet(spark, credits_csv, f"{base}/credits", normalize=True, schema=credits_schema))
+    builders = {f"loans:{k}": v for k, v in lending_reports(loans).items()}
+    builders |= {f"credits:{k}": v for k, v in lending_reports(credits).items()}
+    builders["blended_rate"] = lambda: blended_rate(builders["loans:open_position"](), builders["credits:open_position"](), as_of)
+    return Reports(spark, builders)
 
 
 def duplicate_reports(
-    spark: SparkSession, csv_path: str, columns: Iterable[str], out_dir: str | None = None
-) -> dict[str, DataFrame]:
-    """Duplicate checks of an extract: one report per column, plus all columns in one pass."""
+    spark: SparkSession,
+    csv_path: str,
+    columns: Iterable[str],
+    out_dir: str | None = None,
+    schema=None,
+    hash_prefilter: bool = False,
+) -> Reports:
+    """Duplicate checks of an extract: one report per column, plus all columns in one pass.
+    ``hash_prefilter`` is for wide text columns, as in ``duplicate_keys``."""
     columns = list(columns)
-    extract = (
-        materialize_parquet(spark, csv_path, out_dir)
-        if out_dir
-        else spark.read.option("header", "true").option("inferSchema", "true").csv(csv_path)
-    )
-    reports = {c: duplicate_keys(extract, c) for c in columns}
-    reports["all_columns"] = duplicate_values(extract, columns)
-    return reports
+    extract = materialize_parquet(spark, csv_path, out_dir, schema=schema) if out_dir else read_csv(spark, csv_path, schema=schema)
+    builders = {c: lambda c=c: duplicate_keys(extract, c, hash_prefilter=hash_prefilter) for c in columns}
+    builders["all_columns"] = lambda: duplicate_values(extract, columns)
+    return Reports(spark, builders)
 
 
 def market_reports(
@@ -150,52 +195,75 @@ def market_reports(
     min_capacity: float = 2,
     tables: Mapping[str, str] = MARKET_TABLES,
     types: Mapping[str, Mapping[str, str]] = MARKET_TYPES,
-) -> dict[str, DataFrame]:
+) -> Reports:
     """Rates against prices from a folder of CSV tables (all text, copied once as Parquet and
-    cast at ingest)."""
+    cast at ingest). The basket, the per-day table and the product-day means are built once for
+    all reports that use them."""
     raw = load_tables(spark, input_dir)
     t = {role: cast_columns(raw[stem], types.get(stem, {})) for role, stem in tables.items()}
-    basket = daily_basket(t["rates"], t["coins"])
-    enriched = enrich_facts(t["prices"], t["products"], min_capacity=min_capacity)
-    attached = attach_daily_map(enriched, daily_basket(t["rates"], t["coins"], sort=False))
-    peers = peer_mean(attached, manufacturer)
-    return {
-        "daily_basket": basket,
-        "enrich_facts": enriched,
-        "attach_daily_map": attached,
-        "peer_mean": peers,
-        "period_comparison": period_comparison(peers, t["days"]),
-    }
+
+    @cache
+    def basket() -> DataFrame:
+        return daily_basket(t["rates"], t["coins"], sort=False)
+
+    @cache
+    def daily() -> DailyPrices:
+        return DailyPrices.of(t["prices"], t["products"], basket(), min_capacity=min_capacity)
+
+    @cache
+    def peers() -> DataFrame:
+        return daily().peer_mean(manufacturer)
+
+    return Reports(
+        spark,
+        {
+            "daily_basket": lambda: basket().orderBy(*total_order(basket(), "TimeId")),
+            "enrich_facts": lambda: enrich_facts(t["prices"], t["products"], min_capacity=min_capacity),
+            "attach_daily_map": lambda: daily().attached(),
+            "peer_mean": peers,
+            "period_comparison": lambda: period_comparison(peers(), t["days"]),
+        },
+    )
 
 
 def process_monitor(
     spark: SparkSession,
     input_path: str,
-    output_path: str,
+    output_path: str | None,
     checkpoint_path: str,
     measures: Iterable[str] = ("memory_percent",),
     processing_time: str | None = "10 seconds",
+    mode: str = "complete",
+    max_age_seconds: float | None = None,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
+    max_files_per_trigger: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the running per-process totals over snapshot files as a long-running query.
 
-    The complete result is rewritten as Parquet after each micro-batch; state and offsets
-    live in ``checkpoint_path`` (put it in the shared checkpoint folder), so a restart
-    resumes. ``processing_time=None`` processes what is there and stops (``availableNow``).
+    ``mode`` is ``complete`` (each micro-batch publishes a new version of the result, for
+    ``read_version``), ``update`` (a compacted log of changes, for ``read_totals``) or ``console``
+    (each micro-batch prints the result; no output path). State and offsets live in
+    ``checkpoint_path`` (put it in the shared checkpoint folder), so a restart resumes.
+    ``max_age_seconds`` leaves out snapshots that are older when their batch runs; ``clean_source``
+    (``"archive"`` or ``"delete"``) retires files once they are read. ``processing_time=None``
+    processes what is there and stops (``availableNow``).
     """
-    totals = running_totals(snapshot_stream(spark, input_path, max_files_per_trigger=None), measures=tuple(measures), sort=False)
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(output_path)
-
-    writer = totals.writeStream.outputMode("complete").foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
-    writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
-    with few_state_stores(spark):
-        return writer.start()
+    snapshots = snapshot_stream(
+        spark, input_path, max_files_per_trigger=max_files_per_trigger, clean_source=clean_source, archive_dir=archive_dir
+    )
+    if max_age_seconds is not None:
+        snapshots = fresh_snapshots(snapshots, None, max_age_seconds)
+    totals = running_totals(snapshots, measures=tuple(measures), sort=False)
+    trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
+    return start_totals(totals, output_path, checkpoint_path, mode, trigger=trigger, state_partitions=state_partitions)
 
 
 __all__ = [
     "MARKET_TABLES",
     "MARKET_TYPES",
+    "Reports",
     "duplicate_reports",
     "lending_reports",
     "loan_reports",

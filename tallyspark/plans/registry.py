@@ -3,25 +3,25 @@ an equivalent DuckDB SQL text (the correctness oracle).
 
 Query callables take ``(spark, sf_dir)`` and return a DataFrame. Oracle texts read the
 pre-registered views (``lineitem``, ``orders``, ...) and rebuild the stand-in tables as CTEs.
-Sums and means of money are exact decimals in both engines. Double means whose last bits
-depend on summation order are rounded to 4 places in both (``R4``), with DuckDB's rounding
+Sums and means of prices are exact in both engines (``EXACT_SUM``). Other double means, which
+DuckDB adds in some order, are rounded to 4 places in both (``R4``), with DuckDB's rounding
 written to match Spark's (``RS``); everything else is compared as computed.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.functions.binned import exact_totals
 from tallyspark.functions.dates import epoch_seconds
 from tallyspark.functions.labels import magnitude_label, magnitude_label_sql
 from tallyspark.operators import (
-    attach_daily_map,
+    DailyPrices,
     balance,
     balance_by_period,
     balance_from_totals,
@@ -38,7 +38,6 @@ from tallyspark.operators import (
     leader_in_group,
     open_position,
     open_share_of_total,
-    peer_mean,
     period_comparison,
     period_totals,
     ranked_means,
@@ -48,8 +47,8 @@ from tallyspark.operators import (
     totals_since,
 )
 from tallyspark.plans.fixtures import fixture, oracle_ctes, typed_fixture
-from tallyspark.session import scratch_path
-from tallyspark.sources.files import is_complete, load_tables, materialize_parquet, normalize_columns, publish, read_csv
+from tallyspark.scratch import new_folder, session_scratch
+from tallyspark.sources.files import load_tables, materialize_parquet, normalize_columns, read_csv
 from tallyspark.sources.testdata import read_table
 from tallyspark.streaming.snapshots import (
     by_total,
@@ -105,11 +104,17 @@ def RS(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
-def DEC(expr: str) -> str:
-    """Spark's double → ``DECIMAL(38,10)`` cast in DuckDB text: Spark converts the double's
-    shortest decimal form (exact), DuckDB scales the binary value (can be off in the last
-    place), so the oracle goes through text as Spark does."""
-    return f"CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 10))"
+_BITS_BELOW = 2**44
+
+
+def EXACT_SUM(expr: str, over: str = "") -> str:
+    """The exact sum of doubles in DuckDB text, for values of 512 or more (all their bits are
+    multiples of 2**-44) or zero: a sum of integers, rounded once."""
+    return f"CAST(sum(CAST(({expr}) * {_BITS_BELOW} AS HUGEINT)) {over} AS DOUBLE) / {_BITS_BELOW}"
+
+
+def EXACT_MEAN(expr: str, over: str = "") -> str:
+    return f"{EXACT_SUM(expr, over)} / count({expr}) {over}"
 
 
 def R4(expr: str, alias: str) -> str:
@@ -511,6 +516,36 @@ def q_harmonize_columns(spark, sf):
     return credits_harmonized(spark, sf)
 
 
+# --------------------------------------------------------------------------- exact sums
+#: The scale of the amounts of ``cancelling_totals``: exact powers of two, 120 orders of magnitude apart.
+_HUGE, _TINY = 2.0**200, 2.0**-200
+
+
+def cancelling_amounts(spark, sf) -> DataFrame:
+    """Postings whose huge amounts cancel: each line item is booked, reversed, and leaves a tiny rest."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long").cast("double")
+    items = read_table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", cents.alias("cents"))
+    amounts = F.array(F.col("cents") * _HUGE, F.col("cents") * _TINY, -F.col("cents") * _HUGE)
+    return items.select("l_returnflag", "l_linestatus", F.explode(amounts).alias("amount"))
+
+
+@register(
+    "cancelling_totals",
+    f"SELECT l_returnflag, l_linestatus, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) * {_TINY!r} AS total, "
+    f"CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / (3 * count(*)) * {_TINY!r} AS mean, 3 * count(*) AS postings "
+    "FROM lineitem GROUP BY l_returnflag, l_linestatus",
+)
+def q_cancelling_totals(spark, sf):
+    """Exact sums and means of values 120 orders of magnitude apart."""
+    return exact_totals(
+        cancelling_amounts(spark, sf),
+        ["l_returnflag", "l_linestatus"],
+        sums={"total": "amount"},
+        means={"mean": "amount"},
+        counts={"postings": "amount"},
+    )
+
+
 # --------------------------------------------------------------------------- data quality
 @register(
     "duplicate_keys",
@@ -520,6 +555,14 @@ def q_duplicate_keys(spark, sf):
     return duplicate_keys(read_table(spark, sf, "documents"), "text")
 
 
+@register(
+    "duplicate_texts_prefiltered",
+    "SELECT text, count(*) AS number_of_occurrences FROM documents GROUP BY text HAVING count(*) > 1",
+)
+def q_duplicate_texts_prefiltered(spark, sf):
+    return duplicate_keys(read_table(spark, sf, "documents"), "text", hash_prefilter=True)
+
+
 @register(
     "duplicate_keys_lineitem",
     "SELECT l_orderkey, l_linenumber, count(*) AS number_of_occurrences FROM lineitem "
@@ -556,12 +599,17 @@ def enriched(spark, sf):
     return enrich_facts(typed_fixture(spark, sf, "gpu_price"), typed_fixture(spark, sf, "gpu_dim"))
 
 
+def daily_prices(spark, sf):
+    prices, products = typed_fixture(spark, sf, "gpu_price"), typed_fixture(spark, sf, "gpu_dim")
+    return DailyPrices.of(prices, products, basket(spark, sf, sort=False))
+
+
 def attached(spark, sf):
-    return attach_daily_map(enriched(spark, sf), basket(spark, sf, sort=False))
+    return daily_prices(spark, sf).attached()
 
 
 def nvidia(spark, sf):
-    return peer_mean(attached(spark, sf), MANUFACTURER)
+    return daily_prices(spark, sf).peer_mean(MANUFACTURER)
 
 
 _MARKET_FIXTURES = ["crypto_rate_typed", "crypto_dim_typed", "gpu_price_typed", "gpu_dim_typed"]
@@ -574,7 +622,7 @@ _BASKET_CTES = [
     (
         "day_sum",
         "SELECT TimeId, count(Code) AS Number_Of_Mineable_Coins, "
-        f"CAST(sum({DEC('row_mean')}) AS DOUBLE) AS Avg_Crypto_Rate "
+        f"{EXACT_SUM('row_mean')} AS Avg_Crypto_Rate "
         "FROM coin_rows GROUP BY TimeId",
     ),
     (
@@ -594,14 +642,16 @@ _ATTACH_CTES = [
     (
         "per_day",
         "SELECT TimeId, max(Number_Of_Mineable_Coins) AS Number_Of_Mineable_Coins, max(Avg_Crypto_Rate) AS Avg_Crypto_Rate, "
-        "CAST(to_json(list(map([Currency_Name], [High]) ORDER BY Currency_Name, High)) AS VARCHAR) AS Coin_Map FROM basket GROUP BY TimeId",
+        "CAST(to_json(list(map([Currency_Name], [High]) ORDER BY Currency_Name)) AS VARCHAR) AS Coin_Map FROM "
+        "(SELECT TimeId, Currency_Name, max(High) AS High, max(Number_Of_Mineable_Coins) AS Number_Of_Mineable_Coins, "
+        "max(Avg_Crypto_Rate) AS Avg_Crypto_Rate FROM basket GROUP BY TimeId, Currency_Name) GROUP BY TimeId",
     ),
     ("attached", "SELECT e.*, d.Number_Of_Mineable_Coins, d.Avg_Crypto_Rate, d.Coin_Map FROM (SELECT DISTINCT * FROM enriched) e JOIN per_day d ON e.TimeId = d.TimeId"),
 ]
 _PEER_CTE = (
     "peer",
-    f"SELECT ProdId, TimeId, avg({DEC('Price_USD')}) AS Price_USD, "
-    f"avg({DEC('Price_Original')}) AS Price_Original, Processor_Manufacturer, Processor, "
+    f"SELECT ProdId, TimeId, {EXACT_MEAN('Price_USD')} AS Price_USD, "
+    f"{EXACT_MEAN('Price_Original')} AS Price_Original, Processor_Manufacturer, Processor, "
     "GPU_Manufacturer, Memory_Capacity, Number_Of_Mineable_Coins, Avg_Crypto_Rate, Coin_Map FROM attached "
     f"WHERE Processor_Manufacturer = '{MANUFACTURER}' GROUP BY ProdId, TimeId, Processor_Manufacturer, Processor, GPU_Manufacturer, "
     "Memory_Capacity, Number_Of_Mineable_Coins, Avg_Crypto_Rate, Coin_Map",
@@ -652,8 +702,8 @@ def q_peer_mean(spark, sf):
         [*_MARKET_FIXTURES, "time_dim_typed"],
         f"""SELECT TimeId, Processor_Manufacturer AS CPU_Producer, Processor, {RS('Memory_Capacity', 0)} AS GB,
 GPU_Manufacturer AS GPU_Producer, Number_Of_Mineable_Coins, {RS('Avg_Crypto_Rate', 2)} AS Daily_Avg_Crypto_Rate,
-{RS(f"avg({DEC('Avg_Crypto_Rate')}) OVER (PARTITION BY Year)", 2)} AS Year_Avg_Crypto_Rate, {RS('Price_USD', 2)} AS Price_USD,
-{RS('Price_Original', 2)} AS Price_Original, {RS(f"avg({DEC('Price_USD')}) OVER (PARTITION BY ProdId, Year)", 2)} AS Avg_Price_USD
+{RS(EXACT_MEAN('Avg_Crypto_Rate', 'OVER (PARTITION BY Year)'), 2)} AS Year_Avg_Crypto_Rate, {RS('Price_USD', 2)} AS Price_USD,
+{RS('Price_Original', 2)} AS Price_Original, {RS(EXACT_MEAN('Price_USD', 'OVER (PARTITION BY ProdId, Year)'), 2)} AS Avg_Price_USD
 FROM peer p JOIN time_dim_typed t ON p.TimeId = t.Id""",
         [*_ATTACH_CTES, _PEER_CTE],
     ),
@@ -674,29 +724,38 @@ PART_HEADERS = {
 }
 
 
-def _csv_copy(spark, sf, table: str, folder: str, headers=None) -> str:
-    """Write ``table`` once as a header CSV folder ``<folder>/<table>.csv`` in the shared space."""
-    path = scratch_path(spark, "csv", _data_key(sf), folder, f"{table}.csv")
-    if not is_complete(spark, path):
+def _written_once(spark, sf, label: str, write) -> str:
+    """A stand-in feed, written by ``write(folder)`` at its first use in a session and owned by it."""
+    key = (spark.sparkContext.applicationId, _data_key(sf), label)
+    if key not in _FEEDS:
+        with session_scratch(spark).building():
+            folder = new_folder(spark, "feeds", label.replace("/", "-"))
+        write(folder)
+        _FEEDS[key] = folder
+    return _FEEDS[key]
+
+
+_FEEDS: dict[tuple[str, str, str], str] = {}
+
+
+def _csv_copy(spark, sf, table: str, headers=None) -> str:
+    """``table`` as a header CSV folder."""
+
+    def write(folder):
         df = read_table(spark, sf, table)
-        if headers:
-            df = df.withColumnsRenamed(headers)
-        staging = f"{path}.staging-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").option("header", "true").csv(staging)
-        publish(spark, staging, path)
-    return path
+        (df.withColumnsRenamed(headers) if headers else df).write.option("header", "true").csv(folder)
+
+    return _written_once(spark, sf, f"{table}-display" if headers else table, write)
 
 
 @register("read_csv", "SELECT * FROM nation")
 def q_read_csv(spark, sf):
-    return read_csv(spark, _csv_copy(spark, sf, "nation", "plain"))
+    return read_csv(spark, _csv_copy(spark, sf, "nation"))
 
 
 @register("materialize_parquet", "SELECT * FROM nation")
 def q_materialize_parquet(spark, sf):
-    csv_path = _csv_copy(spark, sf, "nation", "plain")
-    out_dir = scratch_path(spark, "runs", uuid.uuid4().hex, "nation")
-    return materialize_parquet(spark, csv_path, out_dir)
+    return materialize_parquet(spark, _csv_copy(spark, sf, "nation"), new_folder(spark, "runs", "nation"))
 
 
 @register(
@@ -705,18 +764,28 @@ def q_materialize_parquet(spark, sf):
     'p_size AS size_cm, p_retailprice AS "retail_price_us$" FROM part',
 )
 def q_normalize_columns(spark, sf):
-    return normalize_columns(read_csv(spark, _csv_copy(spark, sf, "part", "display", PART_HEADERS)))
+    return normalize_columns(read_csv(spark, _csv_copy(spark, sf, "part", PART_HEADERS)))
 
 
 @register(
     "load_tables",
-    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size, "
-    "CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part",
+    "SELECT 'nation' AS table_name, CAST(n_nationkey AS VARCHAR) AS key, n_name AS name, CAST(n_regionkey AS VARCHAR) AS detail FROM nation "
+    "UNION ALL SELECT 'part', CAST(p_partkey AS VARCHAR), p_name, CAST(p_size AS VARCHAR) FROM part",
 )
 def q_load_tables(spark, sf):
-    _csv_copy(spark, sf, "nation", "feed")
-    folder = _csv_copy(spark, sf, "part", "feed").rsplit("/", 1)[0]
-    return load_tables(spark, folder)["part"]
+    """Rows of both tables of the folder, all text."""
+
+    def write(folder):
+        for table in ("nation", "part"):
+            read_table(spark, sf, table).write.option("header", "true").csv(f"{folder}/{table}.csv")
+
+    tables = load_tables(spark, _written_once(spark, sf, "folder", write))
+    shown = {"nation": ("n_nationkey", "n_name", "n_regionkey"), "part": ("p_partkey", "p_name", "p_size")}
+    parts = [
+        tables[t].select(F.lit(t).alias("table_name"), *[F.col(c).alias(out) for c, out in zip(columns, ("key", "name", "detail"), strict=True)])
+        for t, columns in shown.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 # --------------------------------------------------------------------------- streaming
@@ -732,9 +801,9 @@ _SNAPSHOT_CTE = (
 
 
 def snapshot_files(spark, sf) -> str:
-    """``events`` replayed as snapshot CSV folders ``sys_log=<epoch>/`` (written once)."""
-    path = scratch_path(spark, "snapshots", _data_key(sf))
-    if not is_complete(spark, path):
+    """``events`` replayed as snapshot CSV folders ``sys_log=<epoch>/`` (written once a session)."""
+
+    def write(folder):
         ev = read_table(spark, sf, "events")
         bucket = F.floor((epoch_seconds("ts") - F.lit(SNAPSHOT_ORIGIN_EPOCH)) / F.lit(SNAPSHOT_INTERVAL_SECONDS))
         snaps = ev.select(
@@ -744,14 +813,13 @@ def snapshot_files(spark, sf) -> str:
             F.col("value").alias("memory_percent"),
             (F.lit(SNAPSHOT_ORIGIN_EPOCH) + bucket * F.lit(SNAPSHOT_INTERVAL_SECONDS)).cast("long").alias("snapshot_epoch"),
         )
-        staging = f"{path}.staging-{uuid.uuid4().hex}"
-        write_snapshot_files(snaps, staging)
-        publish(spark, staging, path)
-    return path + "/sys_log=*/*.csv"
+        write_snapshot_files(snaps, folder)
+
+    return _written_once(spark, sf, "snapshots", write) + "/sys_log=*/*.csv"
 
 
 def _run_dirs(spark) -> tuple[str, str]:
-    run = scratch_path(spark, "runs", uuid.uuid4().hex)
+    run = new_folder(spark, "runs", "stream")
     return run + "/out", run + "/checkpoint"
 
 

@@ -2,17 +2,23 @@
 directory of CSV tables loaded as a dictionary.
 
 Existence checks go through the Hadoop ``FileSystem`` of the path (HDFS, object stores,
-local), never the driver's local disk, and a copy counts as present only when its
-``_SUCCESS`` marker is, so a half-written directory is rewritten instead of trusted.
+local), never the driver's local disk. A copy is written by Spark's committer into a folder of
+its own, ``<path>/copy-<unique>/``, and never moved or changed: its ``_SUCCESS`` marker publishes it,
+so nothing depends on a rename, which object stores do not have. Of several complete copies (rival
+writers) readers take the one that was complete first; a writer that finds an earlier one deletes
+its own. A copy without the marker (an interrupted writer) is never read.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+COPY_PREFIX = "copy-"
+
 
 def _hadoop(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -32,11 +38,37 @@ def content_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """True when a Spark write to ``path`` finished (its ``_SUCCESS`` marker exists)."""
+def has_marker(spark: SparkSession, path: str) -> bool:
+    """True when a Spark write to the folder ``path`` finished (its ``_SUCCESS`` marker exists)."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def complete_copy(spark: SparkSession, path: str) -> str | None:
+    """The folder to read for ``path``: itself if a Spark write to it finished, else the copy
+    inside it that was complete first, else nothing."""
+    path = path.rstrip("/")
+    if has_marker(spark, path):
+        return path
+    fs, _ = _hadoop(spark, path)
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    done = []
+    for name in list_names(spark, path):
+        marker = to_path(f"{path}/{name}/_SUCCESS")
+        if name.startswith(COPY_PREFIX) and fs.exists(marker):
+            done.append((int(fs.getFileStatus(marker).getModificationTime()), name))
+    return f"{path}/{min(done)[1]}" if done else None
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """True when there is a complete copy at ``path``."""
+    return complete_copy(spark, path) is not None
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, hpath = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly under ``path`` (files and directories)."""
     fs, hpath = _hadoop(spark, path)
@@ -83,41 +115,42 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def write_copy(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """The complete copy at ``path``, made by ``write(folder)`` unless there is one. A folder that
+    holds anything but copies was not written here: that is an error, and it is left alone."""
+    path = path.rstrip("/")
+    done = complete_copy(spark, path)
+    if done:
+        return done
+    if any(not name.startswith(COPY_PREFIX) for name in list_names(spark, path)):
+        raise FileExistsError(f"{path} exists without _SUCCESS; it was not written here and is left alone")
+    own = f"{path}/{COPY_PREFIX}{uuid.uuid4().hex}"
+    write(own)
+    if not has_marker(spark, own):
+        raise OSError(f"{own} has no _SUCCESS marker: the committer must write it")
+    done = complete_copy(spark, path)
+    if done != own:
+        delete_folder(spark, own)  # a rival was complete before; nobody reads this one
+    return done
+
+
 def materialize(df: DataFrame, path: str, partition_by=None, row_group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` unless a complete copy is there, then return the
     Parquet scan, so the first and later runs share one lineage (and the Parquet file's
-    pushdown and pruning). A folder there without ``_SUCCESS`` is an error.
+    pushdown and pruning). A folder there that holds something else is an error.
 
     ``row_group_bytes`` caps the Parquet row group size: a reader splits a file only at row
     group boundaries, so a small table written by one task still scans on many cores."""
-    spark = df.sparkSession
-    if not is_complete(spark, path):
-        staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-        writer = df.write.mode("overwrite")
+
+    def write(folder: str) -> None:
+        writer = df.write
         if row_group_bytes:
             writer = writer.option("parquet.block.size", int(row_group_bytes))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(staging)
-        publish(spark, staging, path)
-    return spark.read.parquet(path)
-
-
-def publish(spark: SparkSession, staging: str, path: str) -> None:
-    """Move a finished write from ``staging`` to ``path`` with one rename, so readers never
-    see a half-written table. If another writer published first, its copy is kept. A
-    folder at ``path`` without ``_SUCCESS`` is not ours (a finished write is moved there whole)
-    and is never deleted: that is an error."""
-    fs, src = _hadoop(spark, staging)
-    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if fs.exists(dst):
-        if is_complete(spark, path):
-            fs.delete(src, True)
-            return
-        raise FileExistsError(f"{path} exists without _SUCCESS; it was not written here and is left alone")
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst) and not is_complete(spark, path):
-        raise OSError(f"could not publish {staging} as {path}")
+        writer.parquet(folder)
+
+    return df.sparkSession.read.parquet(write_copy(df.sparkSession, path, write))
 
 
 def materialize_parquet(
@@ -129,10 +162,12 @@ def materialize_parquet(
     infer_schema: bool = True,
 ) -> DataFrame:
     """CSV → Parquet once under ``<out_dir>/parquet``; every call returns the Parquet scan.
-    With ``normalize`` the headers are normalised before the copy is written."""
+    With ``normalize`` the headers are normalised before the copy is written. With a ``schema``
+    (of the CSV's own columns) the feed is read once; inference reads it once more."""
     target = out_dir.rstrip("/") + "/parquet"
-    if is_complete(spark, target):
-        return spark.read.parquet(target)
+    done = complete_copy(spark, target)
+    if done:
+        return spark.read.parquet(done)
     df = read_csv(spark, csv_path, schema=schema, infer_schema=infer_schema)
     if normalize:
         df = normalize_columns(df)
@@ -149,8 +184,9 @@ def load_tables(
     base = directory.rstrip("/")
     tables = {}
     for stem in list_names(spark, f"{base}/parquet"):  # copies whose CSV may be gone
-        if is_complete(spark, f"{base}/parquet/{stem}"):
-            tables[stem] = spark.read.parquet(f"{base}/parquet/{stem}")
+        done = complete_copy(spark, f"{base}/parquet/{stem}")
+        if done:
+            tables[stem] = spark.read.parquet(done)
     for name in list_names(spark, base):
         if not name.endswith(suffix):
             continue
@@ -165,7 +201,10 @@ def load_tables(
 
 
 __all__ = [
+    "complete_copy",
     "content_bytes",
+    "delete_folder",
+    "has_marker",
     "is_complete",
     "list_names",
     "load_tables",
@@ -174,6 +213,6 @@ __all__ = [
     "normalize_columns",
     "normalized_name",
     "path_exists",
-    "publish",
     "read_csv",
+    "write_copy",
 ]

@@ -7,12 +7,16 @@ from tallyspark.streaming.snapshots import (
     by_total,
     fresh_snapshots,
     latest_per_key,
+    read_totals,
+    read_version,
     run_append,
     run_complete,
     run_update,
     running_totals,
     snapshot_batch,
     snapshot_stream,
+    start_totals,
+    totals_of,
     with_snapshot_epoch,
     write_snapshot_files,
 )
@@ -24,12 +28,16 @@ __all__ = [
     "by_total",
     "fresh_snapshots",
     "latest_per_key",
+    "read_totals",
+    "read_version",
     "run_append",
     "run_complete",
     "run_update",
     "running_totals",
     "snapshot_batch",
     "snapshot_stream",
+    "start_totals",
+    "totals_of",
     "with_snapshot_epoch",
     "write_snapshot_files",
 ]

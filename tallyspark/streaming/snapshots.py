@@ -3,11 +3,14 @@
 A producer drops CSV snapshots (``pid, name, cpu_percent, memory_percent``, no header) whose
 path carries the snapshot's epoch seconds (``sys_log<epoch>.csv`` or a ``sys_log=<epoch>/``
 folder). The consumer is Structured Streaming: a file source with a fixed schema, a stateful
-running aggregate (state = one row per process name, kept in the state store and recorded
-in the checkpoint, so a lost executor or a restart resumes instead of re-reading), and a
-sink: a Parquet table rewritten per micro-batch (complete mode, few keys), an append-only
-log of changed keys read back with ``max_by`` (update mode, many keys), or the exactly-once
-Parquet file sink (append mode, no aggregation).
+running aggregate (kept in the state store and recorded in the checkpoint, so a lost executor
+or a restart resumes instead of re-reading), and a sink: a new version of the whole result per
+micro-batch (complete mode, few keys), a log of changed rows with a compacted base (update mode,
+many keys), the console, or the exactly-once Parquet file sink (append mode, no aggregation).
+
+Totals of doubles are exact: the state holds integer limbs per process name and bin
+(``partial_totals``), and readers of the result make the totals from them (``totals_of``), so the
+order in which snapshots arrive changes no bit.
 """
 
 from __future__ import annotations
@@ -17,12 +20,24 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tallyspark.functions.binned import final_totals, identity, partial_totals, state_names
+from tallyspark.streaming.results import (
+    COMPACT_EVERY,
+    latest_per_key,
+    read_changes,
+    read_version,
+    write_changes,
+    write_version,
+)
 
 # The snapshot file layout.
 SNAPSHOT_SCHEMA = "pid string, name string, cpu_percent double, memory_percent double"
 SNAPSHOT_PREFIX = "sys_log"
 MAX_AGE_SECONDS = 300
-STATE_PARTITIONS = 200  # state stores of a stream, at most
+#: State stores of a stream, at most, unless the caller says otherwise.
+STATE_PARTITIONS = 200
 EPOCH_PATTERN = "/" + SNAPSHOT_PREFIX + r"=?(\d+(?:\.\d+)?)"
 
 
@@ -75,14 +90,25 @@ def running_totals(
     prefix: str = "total_",
     sort: bool = True,
 ) -> DataFrame:
-    """Sum of each measure per ``key`` over everything read so far, largest first by the
-    first measure. On a stream it runs in complete output mode; when the sink is a table,
-    pass ``sort=False`` and order on read (``by_total``), so no micro-batch pays for a
-    global sort whose order a Parquet table would not keep."""
-    totals = df.groupBy(key).agg(*[F.sum(m).alias(prefix + m) for m in measures])
+    """Exact sum of each measure per ``key`` over everything read so far, largest first by the
+    first measure. On a stream the result is the aggregation's state, one row per key and bin of
+    exponents, in any output mode; the sinks and ``totals_of`` make the totals from it, and
+    ``by_total`` orders them on read, so no micro-batch pays for a global sort whose order a
+    Parquet table would not keep."""
+    state = partial_totals(df, [key], {prefix + m: m for m in measures})
+    if df.isStreaming:
+        return state
+    totals = totals_of(state)
     return by_total(totals, measures, prefix) if sort else totals
 
 
+def totals_of(state: DataFrame) -> DataFrame:
+    """Totals from the rows of ``running_totals`` on a stream; other frames pass unchanged."""
+    outs = state_names(state)
+    keys = [c for c in state.columns if not any(c.startswith(out + "__") for out in outs)]
+    return final_totals(state, keys) if outs else state
+
+
 def by_total(totals: DataFrame, measures: Sequence[str] = ("memory_percent",), prefix: str = "total_") -> DataFrame:
     """Running totals ordered largest first by the first measure."""
     return totals.orderBy(F.col(prefix + measures[0]).desc())
@@ -103,16 +129,10 @@ def fresh_snapshots(
 
 
 def write_snapshot_files(df: DataFrame, path: str, epoch: str = "snapshot_epoch") -> None:
-    """Write one CSV folder per snapshot epoch (``<path>/sys_log=<epoch>/``), one file each.
-    Used to replay a table as a producer would have dropped it."""
-    (
-        df.withColumnRenamed(epoch, SNAPSHOT_PREFIX)
-        .repartition(SNAPSHOT_PREFIX)
-        .write.mode("overwrite")
-        .partitionBy(SNAPSHOT_PREFIX)
-        .option("header", "false")
-        .csv(path)
-    )
+    """Write one CSV folder per snapshot epoch (``<path>/sys_log=<epoch>/``), with a file from each
+    task that holds rows of it: a snapshot is neither gathered in one task nor limited to one
+    file. Used to replay a table as a producer would have dropped it."""
+    df.withColumnRenamed(epoch, SNAPSHOT_PREFIX).write.partitionBy(SNAPSHOT_PREFIX).option("header", "false").csv(path)
 
 
 @contextmanager
@@ -132,51 +152,72 @@ def few_state_stores(spark: SparkSession, most: int = STATE_PARTITIONS) -> Itera
         spark.conf.set(key, was)
 
 
-def run_complete(df: DataFrame, output_path: str, checkpoint_path: str) -> DataFrame:
-    """Drive a streaming aggregate over all available files (``availableNow``), rewriting the
-    full result as Parquet after each micro-batch; return that table."""
+def start_totals(
+    df: DataFrame,
+    output_path: str | None,
+    checkpoint_path: str,
+    mode: str = "complete",
+    key: str = "name",
+    trigger: dict | None = None,
+    state_partitions: int | None = None,
+    compact_every: int = COMPACT_EVERY,
+) -> StreamingQuery:
+    """Start a streaming aggregate and return its query.
+
+    ``mode`` is ``complete`` (each micro-batch publishes the whole result as a new version, read
+    with ``read_version``), ``update`` (it publishes the changed rows, read with ``read_totals``; a
+    batch costs what it changes), or ``console`` (the whole result is printed, without a path).
+    ``trigger`` holds the arguments of the writer's trigger, ``availableNow`` by default. At most
+    ``state_partitions`` state stores are opened (``STATE_PARTITIONS`` if not given).
+    """
+    if mode not in ("complete", "update", "console"):
+        raise ValueError(f"unknown mode {mode!r}")
+    keys = identity(df, [key])
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(output_path)
+    def publish_batch(batch: DataFrame, batch_id: int) -> None:
+        if mode == "complete":
+            write_version(totals_of(batch), output_path, batch_id)
+        elif mode == "update":
+            write_changes(batch, output_path, batch_id, keys, compact_every)
+        else:
+            totals_of(batch).show(truncate=False)
 
-    with few_state_stores(df.sparkSession):
-        query = (
-            df.writeStream.outputMode("complete")
-            .foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint_path)
-            .trigger(availableNow=True)
-            .start()
-        )
-    query.awaitTermination()
-    return df.sparkSession.read.parquet(output_path)
+    writer = df.writeStream.outputMode("update" if mode == "update" else "complete").foreachBatch(publish_batch)
+    writer = writer.option("checkpointLocation", checkpoint_path).trigger(**(trigger or {"availableNow": True}))
+    spark = df.sparkSession
+    with few_state_stores(spark) if state_partitions is None else few_state_stores(spark, state_partitions):
+        return writer.start()
 
 
-def run_update(df: DataFrame, output_path: str, checkpoint_path: str, key: str = "name") -> DataFrame:
-    """Drive a streaming aggregate in *update* mode: each micro-batch appends only the keys
-    whose totals changed, tagged with the batch id, so a batch costs O(changed keys) instead
-    of rewriting the whole state as complete mode does. A retried batch appends identical
-    rows again, which ``latest_per_key`` absorbs. Returns the current totals."""
+def run_complete(df: DataFrame, output_path: str, checkpoint_path: str, state_partitions: int | None = None) -> DataFrame:
+    """Drive a streaming aggregate over all available files, publishing the whole result as a new
+    version after each micro-batch; return the newest one."""
+    start_totals(df, output_path, checkpoint_path, state_partitions=state_partitions).awaitTermination()
+    return read_version(df.sparkSession, output_path)
 
-    def append_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(output_path)
 
-    with few_state_stores(df.sparkSession):
-        query = (
-            df.writeStream.outputMode("update")
-            .foreachBatch(append_batch)
-            .option("checkpointLocation", checkpoint_path)
-            .trigger(availableNow=True)
-            .start()
-        )
+def run_update(
+    df: DataFrame,
+    output_path: str,
+    checkpoint_path: str,
+    key: str = "name",
+    state_partitions: int | None = None,
+    compact_every: int = COMPACT_EVERY,
+) -> DataFrame:
+    """Drive a streaming aggregate in *update* mode: each micro-batch publishes only the rows that
+    changed, so a batch costs O(changed keys) instead of rewriting the whole state as complete
+    mode does, and the log is compacted every ``compact_every`` batches. Returns the current
+    totals."""
+    query = start_totals(
+        df, output_path, checkpoint_path, "update", key, state_partitions=state_partitions, compact_every=compact_every
+    )
     query.awaitTermination()
-    return latest_per_key(df.sparkSession.read.parquet(output_path), key)
+    return read_totals(df.sparkSession, output_path, identity(df, [key]))
 
 
-def latest_per_key(changes: DataFrame, key: str = "name", version: str = "batch_id") -> DataFrame:
-    """The newest row per key of an update log: one distributed aggregate (``max_by`` per
-    column), partial per task, so a key with many versions is reduced map-side."""
-    values = [c for c in changes.columns if c not in (key, version)]
-    return changes.groupBy(key).agg(*[F.max_by(c, version).alias(c) for c in values])
+def read_totals(spark: SparkSession, output_path: str, key) -> DataFrame:
+    """The current totals of an update log."""
+    return totals_of(read_changes(spark, output_path, key))
 
 
 def run_append(df: DataFrame, output_path: str, checkpoint_path: str) -> DataFrame:
@@ -202,12 +243,16 @@ __all__ = [
     "few_state_stores",
     "fresh_snapshots",
     "latest_per_key",
+    "read_totals",
+    "read_version",
     "run_append",
     "run_complete",
     "run_update",
     "running_totals",
     "snapshot_batch",
     "snapshot_stream",
+    "start_totals",
+    "totals_of",
     "with_snapshot_epoch",
     "write_snapshot_files",
 ]

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tallyspark.functions import days_until, exact_mean, exact_sum, magnitude_label, parse_date
+from tallyspark.functions import days_until, exact_totals, magnitude_label, parse_date
 
 
 def test_magnitude_label_boundaries(spark):
@@ -41,15 +41,15 @@ def test_exact_sum_is_order_free(spark):
     vals = [0.1, 0.2, 0.3, 12345.6789, -0.05, None]
     a = spark.createDataFrame([(1, v) for v in vals], "k int, v double").repartition(3)
     b = spark.createDataFrame([(1, v) for v in reversed(vals)], "k int, v double").repartition(2)
-    ra = a.groupBy("k").agg(exact_sum("v").alias("s")).collect()[0].s
-    rb = b.groupBy("k").agg(exact_sum("v").alias("s")).collect()[0].s
+    ra = exact_totals(a, ["k"], sums={"s": "v"}).collect()[0].s
+    rb = exact_totals(b, ["k"], sums={"s": "v"}).collect()[0].s
     assert ra == rb == 12346.2289
     empty = spark.createDataFrame([(1, None)], "k int, v double")
-    assert empty.groupBy("k").agg(exact_sum("v").alias("s")).collect()[0].s is None
+    assert exact_totals(empty, ["k"], sums={"s": "v"}).collect()[0].s is None
 
 
 def test_exact_mean_matches_decimal_math(spark):
     df = spark.createDataFrame([(1, 30972.85), (1, 30972.86)], "k int, v double")
-    m = df.groupBy("k").agg(exact_mean("v").alias("m")).collect()[0].m
-    assert m == 30972.855
-    assert df.groupBy("k").agg(F.round(exact_mean("v"), 2).alias("m")).collect()[0].m == 30972.86
+    means = exact_totals(df, ["k"], means={"m": "v"})
+    assert means.collect()[0].m == 30972.855
+    assert means.select(F.round("m", 2).alias("m")).collect()[0].m == 30972.86

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark import session
-from tallyspark.functions.columns import exact_mean, exact_sum
+from tallyspark.functions import exact_totals
 from tallyspark.operators.joins import size_probe
 from tallyspark.operators.quality import duplicate_keys
 from tallyspark.streaming import snapshots
@@ -22,7 +22,7 @@ def test_duplicates_of_collated_text_and_refused_prefilter(spark):
 @pytest.mark.parametrize("values", [[4e-11, 3e-11], [1e29, 1.0], [0.1, 0.2, None], [float("inf"), 1.0], [1e27] * 20])
 def test_sums_keep_small_and_large_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = df.agg(exact_sum("v").alias("s"), exact_mean("v").alias("m")).first()
+    got = exact_totals(df, [], sums={"s": "v"}, means={"m": "v"}).first()
     held = [v for v in values if v is not None]
     assert math.isclose(got.s, sum(held), rel_tol=1e-12) and math.isclose(got.m, sum(held) / len(held), rel_tol=1e-12)
 
