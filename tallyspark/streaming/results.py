@@ -66,15 +66,18 @@ def write_changes(batch: DataFrame, path: str, batch_id: int, key, compact_every
 
 
 def _log(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
-    """The base's watermark and, tagged with their numbers, its rows and the changes after it."""
+    """The base's watermark and, tagged with their numbers, its rows and the changes after it. The
+    changes are one scan, numbered by their folders' names."""
     bases, changes = numbered(spark, path + "-base", BASE), numbered(spark, path, CHANGES)
-    through = max(bases, default=-1)
-    folders = {through: bases[through]} if bases else {}
-    folders |= {n: folder for n, folder in changes.items() if n > through}
-    rows = None
-    for n, folder in sorted(folders.items()):
-        part = spark.read.parquet(folder).withColumn(CHANGES, F.lit(n).cast("long"))
-        rows = part if rows is None else rows.unionByName(part)
+    through, rows = max(bases, default=-1), None
+    if bases:
+        rows = spark.read.parquet(bases[through]).withColumn(CHANGES, F.lit(through).cast("long"))
+    later = [folder for n, folder in sorted(changes.items()) if n > through]
+    if later:
+        number = F.regexp_extract("_metadata.file_path", CHANGES + "(?:=|%3D)([0-9]+)/[^/]*/[^/]*$", 1).cast("long")
+        scan = spark.read.parquet(*later)
+        scan = scan.select(*scan.columns, number.alias(CHANGES))
+        rows = scan if rows is None else rows.unionByName(scan)
     return through, rows
 
 
