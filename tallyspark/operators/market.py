@@ -220,16 +220,17 @@ class DailyPrices:
 
     def attached(self, sort: bool = True) -> DataFrame:
         """``attach_daily_map(enrich_facts(prices, products), basket)``: ordered by product and
-        day, then by the other price columns. The sort, too, moves the six columns only, if the
-        products and days are few enough to be broadcast."""
+        day, then by the other price columns. If the products and days are few enough to be
+        broadcast, the rows are ranged by their six columns before the joins, and each task
+        sorts what it has at the end."""
         few = self._few(self.products)
         rows = self._distinct(self.products, few)
-        narrow = few and self.few_days
         lead = (self.product_key, self.time)
+        narrow = few and self.few_days
         if sort and narrow:
-            rows = rows.orderBy(*total_order(rows, *lead))
+            rows = rows.repartitionByRange(*total_order(rows, *lead))
         out = self._joined(rows, self.products, few)
-        return out.orderBy(*total_order(out, *lead)) if sort and not narrow else out
+        return out.orderBy(*total_order(rows if narrow else out, *lead)) if sort else out
 
     def peer_mean(
         self,
