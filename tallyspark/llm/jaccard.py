@@ -62,6 +62,7 @@ MIN_COUNT = 2  # counts below this in one stretch of rows are not summed
 STRETCH = 1 << 21  # elements counted or listed together in a task
 SHORT_LIST = 6
 LIST_BLOCK = 1024
+TILE = 16 << 20  # bytes of bitmaps compared at once
 MAX_SMALL = 16  # largest boundary that the cost is evaluated for
 LIST_COST = 3.0  # an entry of an inverted list against a subset: written, listed and paired
 _TOP = np.uint64(1) << np.uint64(63)
@@ -370,13 +371,18 @@ def propose(entries: DataFrame, boundary: int) -> DataFrame:
 
 
 # ------------------------------------------------------------------ long lists
-def _distances(rows: list[tuple[int, bytes]], others: list[tuple[int, bytes]] | None = None) -> np.ndarray:
-    """Differing parities of all pairs, on the smallest bitmap size among them."""
-    size = min(len(b) for _, b in rows + (others or []))
-    bits = lambda part: np.unpackbits(np.stack([fold(b, size) for _, b in part]), axis=1).astype(np.float32)
-    x = bits(rows)
-    y = x if others is None else bits(others)
-    return x.sum(1)[:, None] + y.sum(1)[None, :] - 2 * (x @ y.T)
+def _distances(rows: list[bytes], others: list[bytes] | None = None) -> np.ndarray:
+    """Differing parities of all pairs, on the smallest bitmap size among them. Bitmaps stay packed
+    and meet in tiles, so beside them and the result no more than ``TILE`` bytes are held."""
+    size = min(len(b) for b in rows + (others or []))
+    packed = lambda part: np.stack([fold(b, size) for b in part]).view(np.uint64)
+    x = packed(rows)
+    y = x if others is None else packed(others)
+    out = np.empty((len(x), len(y)), np.int32)
+    step = max(1, TILE // (y.nbytes + 1))
+    for at in range(0, len(x), step):
+        out[at : at + step] = np.bitwise_count(x[at : at + step, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int32)
+    return out
 
 
 def near_pairs(members: DataFrame) -> DataFrame:
@@ -388,7 +394,7 @@ def near_pairs(members: DataFrame) -> DataFrame:
 
     def choose(table: pa.Table) -> pa.Table:
         owners, sizes = table["owner"].to_numpy(), table["n"].to_numpy()
-        far = _distances(list(zip(sizes.tolist(), table["bitmap"].to_pylist(), strict=True)))
+        far = _distances(table["bitmap"].to_pylist())
         far = np.where(compatible(sizes[:, None], sizes[None, :]), far, np.inf)
         medoid = int(np.argmin(np.where(np.isinf(far), 1e9, far).sum(1)))
         np.fill_diagonal(far, np.inf)
@@ -416,7 +422,7 @@ def crossing_pairs(members: DataFrame, bitmaps: DataFrame) -> DataFrame:
     def cross(table: pa.Table) -> pa.Table:
         owners, sizes, block = table["owner"].to_numpy(), table["n"].to_numpy(), table["block"].to_numpy()
         parts = np.unique(table["component"].to_numpy(zero_copy_only=False), return_inverse=True)[1]
-        rows = list(zip(sizes.tolist(), table["bitmap"].to_pylist(), strict=True))
+        rows = table["bitmap"].to_pylist()
         i = np.flatnonzero(block == block.min())
         j = np.flatnonzero(block == block.max())
         if block.min() == block.max() and table["row"][0].as_py() != table["col"][0].as_py():
