@@ -36,6 +36,8 @@ RADIUS = 6
 CELL = 512
 #: Copies of one row are written by tasks of at most this many rows each.
 COPIES = 4096
+#: Fingerprints that are joined by broadcast at most: those of more than this share of one of the queries.
+HEAVY_KEYS = 1000
 _LANES = 0x0000000100000001  # bits i and i + 32 of a hash, each in a counter of 32 bits
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -203,10 +205,11 @@ class BlockTables:
 
 
 def within_radius(rows: DataFrame, queries: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
-    """``a, b, near``: for every distinct fingerprint of ``queries`` the number of ``rows`` whose
-    fingerprint is within the radius, its own included if it is among them."""
+    """``a, b, asked, near``: for every distinct fingerprint of ``queries`` how many queries have it
+    and the number of ``rows`` whose fingerprint is within the radius, its own included if it is
+    among them."""
     entries, _ = stage(rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs")), "entries")
-    asked, _ = stage(queries.select("a", "b").distinct(), "asked")
+    asked, _ = stage(queries.groupBy("a", "b").agg(F.count(F.lit(1)).alias("asked")), "asked")
     tables = BlockTables.for_sizes(entries.count(), asked.count(), radius)
     on = ["table", "key_a", "key_b"]
     listed = tables.keys(entries, "docs")
@@ -220,7 +223,7 @@ def within_radius(rows: DataFrame, queries: DataFrame, radius: int = RADIUS, cel
         .agg(F.collect_list(F.struct("a", "b", "docs")).alias("held"))
     )
     wanted = (
-        tables.keys(asked, with_earlier=True)
+        tables.keys(asked, "asked", with_earlier=True)
         .join(large, on, "left")
         .withColumn("cell", F.explode(F.sequence(F.lit(0), cells - 1)))
         .drop("cells")
@@ -233,9 +236,9 @@ def within_radius(rows: DataFrame, queries: DataFrame, radius: int = RADIUS, cel
         return near & here
 
     met = wanted.join(held, [*on, "cell"]).select(
-        "a", "b", F.aggregate(F.filter("held", meets), F.lit(0).cast("long"), lambda n, e: n + e["docs"]).alias("near")
+        "a", "b", "asked", F.aggregate(F.filter("held", meets), F.lit(0).cast("long"), lambda n, e: n + e["docs"]).alias("near")
     )
-    return met.groupBy("a", "b").agg(F.sum("near").alias("near"))
+    return met.groupBy("a", "b", "asked").agg(F.sum("near").alias("near"))
 
 
 def report(docs: DataFrame, is_query: Column, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -249,8 +252,16 @@ def report(docs: DataFrame, is_query: Column, id_col: str = "doc_id", text_col:
     parts = parts.repartition(F.xxhash64("doc_id", "a", "part"))
     copy = F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES).cast("long"), F.col("copies") - F.col("part") * COPIES))
     rows = single.unionByName(parts.withColumn("copy", F.explode(copy)).drop("part", "copy"))
-    near = within_radius(rows, rows.where(is_query), radius).withColumnRenamed("near", "n")
-    joined = rows.withColumn("asked", F.coalesce(is_query, F.lit(False))).join(near, ["a", "b"], "left")
+    asked = F.coalesce(is_query, F.lit(False))
+    near, _ = stage(within_radius(rows, rows.where(asked), radius), "near")
+    # queries with a fingerprint that many share stay where they lie; there are few such prints
+    total = near.agg(F.coalesce(F.sum("asked"), F.lit(0))).first()[0]
+    common = F.col("asked") * HEAVY_KEYS > total
+    prints_of = near.select("a", "b", F.col("near").alias("n"), "asked")
+    heavy, light = (prints_of.where(c).drop("asked") for c in (common, ~common))
+    queries = rows.where(asked)
+    counted = queries.join(F.broadcast(heavy), ["a", "b"]).unionByName(queries.join(light, ["a", "b"]))
+    joined = counted.unionByName(rows.where(~asked).withColumn("n", F.lit(None).cast("long")))
     return joined.select(
         "doc_id",
         "n_chars",
@@ -259,5 +270,5 @@ def report(docs: DataFrame, is_query: Column, id_col: str = "doc_id", text_col:
         hexadecimal(F.col("edited_a"), F.col("edited_b")).alias("edited_fingerprint"),
         likeness(distance(F.col("a"), F.col("b"), F.col("edited_a"), F.col("edited_b"))).alias("near_edited"),
         likeness(distance(F.col("a"), F.col("b"), F.col("next_a"), F.col("next_b"))).alias("near_next"),
-        F.when(F.col("asked"), F.col("n") - 1).alias("n_near"),
+        (F.col("n") - 1).alias("n_near"),
     )
