@@ -3,19 +3,25 @@
 1. Every page is parsed once into its element tree. Each block-level subtree of the whole page,
    inside the main content and outside, gets a hash of its tag, class and id, its text and its
    children's hashes.
-2. Spark counts, per host, with how many different contents each subtree occurs: pages whose
-   main text outside the subtree is the same count once, so copies of a page do not make its
-   article a template. Subtrees on at least ``MIN_PAGES`` pages, with ``MIN_PAGES`` different
-   contents (or all of a host that has fewer; two at least) and with ``MIN_SHARE`` of the
-   host's different main texts are its template.
+2. Spark counts, per host, with how many different articles each subtree occurs. An article is
+   known by the first of its highest headings in the main element, or without one by the longest
+   block outside the subtree. So copies of a page, and versions of an article that differ in
+   some paragraphs, count once and do not make the article a template. Subtrees on at
+   least ``MIN_PAGES`` pages, with ``MIN_PAGES`` different articles (or all of a host that has
+   fewer; two at least) and with ``MIN_SHARE`` of the host's are its template.
 3. Template subtrees are deleted, as are elements that by tag, role or class are menus,
    headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments.
    What is left of the main element (``article`` or ``main``; the whole body without one) is
-   the text.
+   the text. Within a main element a class tells only if one of its names is wholly that of such
+   a part (``comments``, ``share-buttons``, not ``share-price``) and the element is a container, not
+   a paragraph or other prose; what is written otherwise is left to the count. Labels and buttons
+   within prose are words of it, and an open dialog is shown.
 
 Blocks of the main content (a notice or a list of links written as a paragraph or list) are
-counted like all others. Near copies of one article that differ in a paragraph are different
-contents, so where they reach the share above, the paragraphs they have in common go. Character references are decoded,
+counted like all others. Versions of one article under different headings are different
+articles: where they reach the share above, the paragraphs they have in common go. Pages that
+share their highest heading are one article, so on a host where all do nothing goes by its
+count. Character references are decoded,
 white space inside a block becomes one space, and blocks are joined in page order by one line
 feed. Null html and pages without text give an empty string. Null urls share one host. Rows
 that repeat give repeated results. Only the id, url and html columns are read.
@@ -63,6 +69,17 @@ _SIGNS = re.compile(
     r"disqus|respond|related|widget)(?:$|[-_ ])"
 )
 _TOP = re.compile(r"(?:^|[-_ ])(?:header|masthead)(?:$|[-_ ])")  # site headers, outside an article only
+# within an article, whole class names of parts that are not its text
+_PARTS_INSIDE = re.compile(
+    r"(?:^| )(?:(?:post|article|entry|page|site|story)[-_])?"
+    r"(?:ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promo|nav|navbar|navigation|menu|breadcrumbs?|footer|sidebar|cookies?|"
+    r"consent|notice|gdpr|popup|modal|newsletter|subscribe|share|sharing|social|comments?|disqus|respond|related|widget)"
+    r"(?:[-_](?:area|bar|block|box|buttons?|container|form|icons?|inner|items?|links?|list|media|overlay|panel|posts|articles|section|"
+    r"signup|slot|thread|tools|unit|widget|wrap|wrapper))*(?: |$)"
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_PROSE = frozenset(("p", "li", "dt", "dd", "td", "th", "caption", "figcaption", "blockquote", "pre", "summary", *_HEADINGS))
+_IN_PROSE = frozenset(("label", "button"))
 # an open element is closed by the start of one of these
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("ul ol dl table article main section div body html nav aside footer header form blockquote".split())
@@ -70,19 +87,32 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "sign", "items", "role", "parent")
+    __slots__ = ("tag", "sign", "items", "role", "parent", "open")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.parent, self.items = tag, parent, []
+        self.open = "open" in attrs
         self.sign = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".strip().lower()
         self.role = (attrs.get("role") or "").lower()
 
     def boilerplate(self, inside_main: bool) -> bool:
-        if self.tag in DROPPED or self.role in _ROLES or (self.tag == "header" and not inside_main):
+        if inside_main:
+            if self.tag in _IN_PROSE and self._in_prose() or self.tag == "dialog" and self.open:
+                return False
+            if self.tag in DROPPED or self.role in _ROLES:
+                return True
+            return self.tag not in _PROSE and self.tag not in INLINE and self.tag not in MAIN and bool(_PARTS_INSIDE.search(self.sign))
+        if self.tag in DROPPED or self.role in _ROLES or self.tag == "header":
             return True
         if self.tag in ("html", "body", *MAIN):
             return False
-        return bool(_SIGNS.search(self.sign)) or (not inside_main and bool(_TOP.search(self.sign)))
+        return bool(_SIGNS.search(self.sign)) or bool(_TOP.search(self.sign))
+
+    def _in_prose(self) -> bool:
+        node = self.parent
+        while node is not None and node.tag in INLINE:
+            node = node.parent
+        return node is not None and node.tag in _PROSE
 
 
 class TreeBuilder(HTMLParser):
@@ -104,7 +134,7 @@ class TreeBuilder(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body"):
             return
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in _IN_PROSE:
             if self.at.tag != "head" or tag not in ("title", "style", "script", "noscript", "template"):
                 self._close_to({"p"})
             if tag not in VOID and self.at.tag == "head" and tag not in ("title", "style", "script", "noscript", "template"):
@@ -161,31 +191,25 @@ def _word(digest: bytes) -> int:
     return int.from_bytes(digest, "big", signed=True)
 
 
-def _signed(value: int) -> int:
-    """``value`` modulo 2 ** 64, as a signed long."""
-    return (value + (1 << 63)) % (1 << 64) - (1 << 63)
-
-
 def page_parts(html: str | None) -> tuple[list[str], list[list[int]], list[int], list[int], int]:
     """Blocks of main text, for each the subtrees (by number) that could delete it, the hash of
-    each such subtree, the digest of the main text outside that subtree, and of all main text.
+    each such subtree, the article it lies in, and the article of the page.
 
-    A digest is the sum of the hashes of blocks, 0 without any."""
+    An article is the hash of a heading or block (see above), 0 without any text."""
     blocks: list[str] = []
     within: list[list[int]] = []
     hashes: list[int] = []
-    inner: list[int] = []
+    named: list[tuple[str, int]] = []  # the blocks that are headings, with their tags
     held: list[str] = []
-    total = 0
 
-    def flush(above):
-        nonlocal total
+    def flush(above, tag=""):
         text = _SPACE.sub(" ", "".join(held)).strip()
         held.clear()
         if text:
+            if tag in _HEADINGS:
+                named.append((tag, len(blocks)))
             blocks.append(text)
             within.append(list(above))
-            total += _word(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest())
 
     root = parse(html)
     mains = _main_nodes(root)
@@ -193,18 +217,18 @@ def page_parts(html: str | None) -> tuple[list[str], list[list[int]], list[int],
     started = {id(m) for m in mains}
 
     # what is entered: item, hash of the parent, subtrees above, in main, text is kept;
-    # what is left: those of the element, its number or None, the sum when it was entered
+    # what is left: those of the element, its number or None
     todo: list = [("in", root, None, (), False, False)]
     while todo:  # a loop, as pages may nest deeper than Python's stack
         step, item, hashed, above, in_main, kept, *ended = todo.pop()
         if step == "out":
-            parent, at, before = ended
-            if kept and item.tag not in INLINE:
-                flush(above)
+            parent, at = ended
+            if kept and item.tag not in INLINE and item.tag not in _IN_PROSE:
+                flush(above, item.tag)
             if parent is not None:
                 parent.update(hashed.digest())
             if at is not None:
-                hashes[at], inner[at] = _word(hashed.digest()), total - before
+                hashes[at] = _word(hashed.digest())
         elif item is None:
             if kept:
                 flush(above)
@@ -218,7 +242,7 @@ def page_parts(html: str | None) -> tuple[list[str], list[list[int]], list[int],
             in_main = in_main or main
             kept = main or (kept and not item.boilerplate(not whole_page))
             block = item.tag not in INLINE
-            if block and kept:
+            if block and kept and item.tag not in _IN_PROSE:
                 flush(above)
             own = hashlib.blake2b(f"<{item.tag} {item.sign}>".encode("utf-8", "surrogatepass"), digest_size=8)
             at = None
@@ -226,14 +250,29 @@ def page_parts(html: str | None) -> tuple[list[str], list[list[int]], list[int],
                 at = len(hashes)
                 above = (*above, at)
                 hashes.append(0)
-                inner.append(0)
-            todo.append(("out", item, own, above, in_main, kept, hashed, at, total))
+            todo.append(("out", item, own, above, in_main, kept, hashed, at))
             todo += [("in", x, own, above, in_main, kept) for x in reversed(item.items)]
     flush(())
-    inside: dict[int, int] = {}
-    for h, n in zip(hashes, inner, strict=True):
-        inside[h] = inside.get(h, 0) + n
-    return blocks, within, hashes, [_signed(total - inside[h]) for h in hashes], _signed(total)
+    names = [_word(hashlib.blake2b(b.encode("utf-8", "surrogatepass"), digest_size=8).digest()) for b in blocks]
+    by_length = sorted(range(len(blocks)), key=lambda i: (-len(blocks[i]), names[i]))
+    heading = min(named)[1] if named and not whole_page else None
+    places: dict[int, list[int]] = {}
+    for at, h in enumerate(hashes):
+        places.setdefault(h, []).append(at)
+    lies_in: dict[int, set[int]] = {}
+
+    def article(gone: list[int]) -> int:
+        if heading is not None:
+            return names[heading]
+        for i in by_length:
+            if i not in lies_in:
+                lies_in[i] = set(within[i])
+            if lies_in[i].isdisjoint(gone):
+                return names[i]
+        return 0
+
+    outside = {h: article(gone) for h, gone in places.items()}
+    return blocks, within, hashes, [outside[h] for h in hashes], article([])
 
 
 _PARTS = T.StructType(
@@ -270,8 +309,8 @@ def parse_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> D
 
 
 def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, subtree`` of the subtrees that recur, with their counts. Copies of a page have one
-    content, so an article copied on many pages does not recur."""
+    """``host, subtree`` of the subtrees that recur, with their counts. Copies and versions of a page
+    are one article, so an article copied on many pages does not recur."""
     at = F.explode(F.array_distinct(F.arrays_zip("subtrees", "outside"))).alias("at")
     seen = parsed.select("host", at).select("host", F.col("at.subtrees").alias("subtree"), F.col("at.outside").alias("outside"))
     seen = seen.groupBy("host", "subtree", "outside").agg(F.count(F.lit(1)).alias("pages"))

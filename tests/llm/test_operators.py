@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -239,6 +240,21 @@ def test_base_spans_match_the_patterns():
         private.base_spans(hard)
 
 
+def test_further_spans_avoid_base_spans():
+    rng = random.Random(6)
+    text = " ".join(rng.choice(("name Mr. Alan Smith", "078-05-1120", "(415) 555-2671", "a at b dot com", "word")) for _ in range(400))
+    everything = private.further_spans(text, [])
+    for _ in range(30):
+        taken = [(a, a + rng.randint(1, 40)) for a in (rng.randrange(len(text)) for _ in range(rng.randint(0, 60)))]
+        free = [f for f in everything if not any(f[1] < e and s < f[2] for s, e in taken)]
+        got = private.further_spans(text, taken)
+        assert not any(f[1] < e and s < f[2] for f in got for s, e in taken) and set(free) <= set(got)
+    many = " ".join(["078-05-1120"] * 16_000)
+    started = time.perf_counter()
+    assert len(private.further_spans(many, [(12 * i, 12 * i + 3) for i in range(0, 16_000, 2)])) == 8_000
+    assert time.perf_counter() - started < 2
+
+
 def test_reliabilities_are_estimated():
     rng = np.random.default_rng(1)
     truth = rng.random(5000) < 0.6
@@ -336,6 +352,62 @@ def test_copied_articles_are_content(spark):
         assert got == {k + i: f"{t}\nBody of {t}" for k in (0, 100) for i, t in enumerate(titles)}
 
 
+def test_versions_of_an_article_are_content(spark):
+    site = "<nav>Home</nav><article><h1>{0}</h1><p>First paragraph of {0}.</p><p>{1}</p><p>The last paragraph of {0}.</p><p>Get our letter</p></article>"
+    titles = [("Shared story", f"Edition {i}, with a longer paragraph that is its own.") for i in range(8)] + [(f"Own {i}", "Text.") for i in range(12)]
+    rows = [(i, f"https://h.example/{i}", site.format(*t)) for i, t in enumerate(titles)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.main_text(table).collect()}
+    for i, (title, own) in enumerate(titles):
+        kept = [title, f"First paragraph of {title}.", own, f"The last paragraph of {title}."]
+        # on 12 of 13 articles the same short text recurs, like the notice
+        assert got[i].split("\n") == [b for b in kept if b != "Text."], got[i]
+
+
+def test_classes_within_an_article_are_hints():
+    kept = "<article><h1>T</h1><div class='related-work'><p>Work.</p></div><p class='notice'>Notice that</p><div class='share-price'>Price</div>{}</article>"
+    cases = {
+        "<p>See <label>the label</label> and <button>the button</button>.</p>": ["See the label and the button."],
+        "<dialog open>Said.</dialog><dialog>Hidden.</dialog>": ["Said."],
+        "<div class='comments'>no</div><div class='post-share-buttons x'>no</div><ul class='related_posts'><li>no</ul><section class='widget'>no</section>": [],
+        "<form><label>Mail</label><button>Send</button></form><button>Top</button><aside>Side</aside>": [],
+        "<span class='ad'>word</span><td class='menu'>cell": ["word", "cell"],
+    }
+    for html, blocks in cases.items():
+        assert pages.page_parts(kept.format(html))[0] == ["T", "Work.", "Notice that", "Price", *blocks], html
+
+
+def brute_templates(rows):
+    """Templates by host from the parts of each page, counted plainly."""
+    hosts, found = {}, {}
+    for host, html in rows:
+        parts = pages.page_parts(html)
+        hosts.setdefault(host, []).append((dict(zip(parts[2], parts[3], strict=True)), parts[4]))
+    for host, held in hosts.items():
+        articles = len({a for _, a in held if a})
+        for h in {h for subtrees, _ in held for h in subtrees}:
+            on = [subtrees[h] for subtrees, _ in held if h in subtrees]
+            if len(on) >= 5 and len(set(on)) > 1 and len(set(on)) >= min(5, articles) and len(set(on)) >= 0.3 * articles:
+                found.setdefault(host, set()).add(h)
+    return found
+
+
+def test_template_counts_equal_plain_ones(spark):
+    rng = random.Random(9)
+    blocks = ["<p>Notice {}</p>", "<div><p>A {}</p><p>B {}</p></div>", "<ul><li>x {}</li></ul>"]
+    rows = []
+    for i in range(120):
+        host = f"h{rng.randint(0, 3)}.example"
+        common = "".join(rng.choice(blocks).replace("{}", str(rng.randint(0, 1))) for _ in range(rng.randint(0, 3)))
+        own = f"<h1>Title {rng.randint(0, 25)}</h1><p>Text {rng.randint(0, 40)} and more of it</p>"
+        rows.append((i, f"https://{host}/{i}", f"<div>{common}</div><article>{own}{common}</article>" if i % 4 else f"<div>{own}{common}</div>"))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {}
+    for r in pages.templates(pages.parse_pages(table, "page_id", "url", "html")).collect():
+        got.setdefault(r.host, set()).add(r.subtree)
+    assert got == brute_templates([(u.split("/")[2], h) for _, u, h in rows]) and got
+
+
 def test_every_article_of_the_table(spark):
     import html as h
 
