@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -124,13 +125,27 @@ def further_spans(text: str, taken: list[tuple[int, int]]) -> list[tuple[str, in
         found += [(kind, *m.span()) for m in pattern.finditer(text)]
     out: list[tuple[str, int, int]] = []
     if found:
-        busy = sorted(taken)
+        starts, ends = _disjoint(taken)
         for kind, start, end in sorted(found, key=lambda s: (s[1], KINDS.index(s[0]))):
-            if not any(start < e and s < end for s, e in busy) and not (out and start < out[-1][2]):
+            i = bisect_right(ends, start)  # the first base stretch that ends behind the start
+            if not (i < len(starts) and starts[i] < end) and not (out and start < out[-1][2]):
                 out.append((kind, start, end))
     return out
 
 
+def _disjoint(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends, in order, of the stretches that the spans cover."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted(spans):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def _iban_ok(span: str) -> bool:
     s = span.replace(" ", "")
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
