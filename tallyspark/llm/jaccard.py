@@ -22,8 +22,9 @@ Lists
     copies) are cut into blocks of about ``LIST_BLOCK`` members by a hash of the member and first
     propose each member with its nearest member and with the block's medoid, by the distance of
     parity bitmaps (in two random blocks when there are several); after the components of those are known, every remaining pair of members of
-    *different* components is proposed, block against block. A pair within one component would
-    not change it, so nothing is lost and a family of g texts does not give g * g pairs.
+    *different* components is proposed: the members outside the list's largest component meet all
+    members, block against block. A pair within one component would not change it, so nothing is
+    lost, and a family of g texts gives neither g * g pairs nor g * g comparisons.
 Verification
     A proposed pair must pass a parity bitmap filter (the number of differing bits is at most
     the symmetric difference) and is then verified exactly on the two whole sets.
@@ -410,25 +411,41 @@ def near_pairs(members: DataFrame) -> DataFrame:
 
 
 def crossing_pairs(members: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Every pair of members of different components that may link, block against block. The
+    """Every pair of members of different components that may link.
+
+    Most members of a long list are of one component; of two members of different components, one
+    is outside it. So the members outside the list's largest component, in blocks, meet all
+    members, in blocks: a list of g members with r outside costs r * g comparisons, not g * g. The
     bitmaps are joined only to members of lists that hold several components."""
-    mixed = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.where("low <> high").select("list")
-    blocks = F.ceil(F.col("members") / LIST_BLOCK)
-    own = members.join(mixed, "list", "left_semi").join(bitmaps.select("key", "bitmap"), "key").withColumn("block", F.pmod(F.xxhash64("owner"), blocks))
-    cells = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    cells = cells.withColumns({"row": F.least("block", "other"), "col": F.greatest("block", "other")})
+    sizes = members.groupBy("list", "component").agg(F.count(F.lit(1)).alias("held"))
+    lists = sizes.groupBy("list").agg(
+        F.max_by("component", F.struct("held", "component")).alias("largest"),
+        F.sum("held").alias("all"),
+        F.max("held").alias("most"),
+    )
+    lists = lists.where("most < all").select(
+        "list",
+        "largest",
+        F.ceil((F.col("all") - F.col("most")) / LIST_BLOCK).alias("rows"),
+        F.ceil(F.col("all") / LIST_BLOCK).alias("cols"),
+    )
+    own = members.join(lists, "list").join(bitmaps.select("key", "bitmap"), "key")
+    hashed = F.xxhash64("owner")
+    across = own.where(F.col("component") != F.col("largest")).withColumn("row", F.pmod(hashed, "rows"))
+    across = across.withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cols") - 1))).withColumn("outside", F.lit(True))
+    down = own.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+    down = down.withColumn("col", F.pmod(hashed, "cols")).withColumn("outside", F.lit(False))
+    columns = ("list", "row", "col", "outside", "owner", "n", "component", "bitmap")
+    cells = across.select(*columns).unionByName(down.select(*columns))
 
     def cross(table: pa.Table) -> pa.Table:
-        owners, sizes, block = table["owner"].to_numpy(), table["n"].to_numpy(), table["block"].to_numpy()
+        owners, sizes = table["owner"].to_numpy(), table["n"].to_numpy()
         parts = np.unique(table["component"].to_numpy(zero_copy_only=False), return_inverse=True)[1]
-        rows = table["bitmap"].to_pylist()
-        i = np.flatnonzero(block == block.min())
-        j = np.flatnonzero(block == block.max())
-        if block.min() == block.max() and table["row"][0].as_py() != table["col"][0].as_py():
-            i = i[:0]  # the other block is empty, and this one has its own cell
-        if not len(i):
+        outside = table["outside"].to_numpy()
+        i, j = np.flatnonzero(outside), np.flatnonzero(~outside)
+        if not len(i) or not len(j):
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        rows = table["bitmap"].to_pylist()
         far = _distances([rows[x] for x in i], [rows[x] for x in j])
         n, m = sizes[i][:, None].astype(np.int64), sizes[j][None, :].astype(np.int64)
         most = n + m - 2 * (-(-PERCENT * (n + m) // (100 + PERCENT)))
