@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.scratch import new_folder
 from tallyspark.session import scratch_path
 
 #: White space and word classes of the contracts: space and ``\\x09-\\x0D`` only.
@@ -29,10 +29,11 @@ def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs the re-run of one stage's tasks, never the
-    whole plan. Returns the reread table and its folder, for ``release``.
+    whole plan. Returns the reread table and its folder, for ``release``; folders that are not
+    released go with the open ``Scratch``, or at exit.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "llm", f"{label}-{uuid.uuid4().hex}")
+    path = new_folder(spark, "llm", label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

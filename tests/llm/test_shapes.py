@@ -270,3 +270,18 @@ def test_components_that_could_overflow_are_an_error(spark):
     table = spark.createDataFrame([(1, [1e300, 0.0])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="may exceed a long"):
         clusters.cluster(table, dim=2).collect()
+
+
+def test_folders_go_with_their_owner(spark):
+    from tallyspark.llm import exact_dedup
+    from tallyspark.scratch import Scratch
+    from tallyspark.session import scratch_path
+    from tallyspark.sources.files import list_names
+
+    docs = odd_docs(spark).where("length(text) < 1000")
+    before = list_names(spark, scratch_path(spark, "llm"))
+    for build in (lambda: fingerprints.report(docs, F.lit(True)), lambda: exact_dedup.duplicate_groups(docs)):
+        with Scratch(spark):
+            assert build().count() > 0
+            assert list_names(spark, scratch_path(spark, "llm")) != before
+        assert list_names(spark, scratch_path(spark, "llm")) == before
