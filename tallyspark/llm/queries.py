@@ -57,7 +57,18 @@ def op1(spark, sf):
     return archives.round_trip(read(spark, sf, "pages"))
 
 
-@query("op2_ngram_jaccard_join")
+@query(
+    "op2_ngram_jaccard_join",
+    rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {jaccard.K} THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - {jaccard.K - 2}), lambda i: array_to_string(w[i:i + {jaccard.K - 1}], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= {jaccard.PERCENT} * (nx.n + ny.n - c)),
+r AS (SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id""",
+)
 def op2(spark, sf):
     return jaccard.components(read(spark, sf, "documents"))
 
