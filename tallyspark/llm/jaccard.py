@@ -54,7 +54,7 @@ from pyspark.sql import types as T
 
 from tallyspark.llm import words
 from tallyspark.llm.common import exact_digest, fresh_name, release, small_batches, stage
-from tallyspark.operators.joins import broadcast_if_small
+from tallyspark.operators.joins import broadcast_if_small, materialize_small
 
 K = 5
 PERCENT = 80
@@ -423,11 +423,14 @@ def crossing_pairs(members: DataFrame, bitmaps: DataFrame) -> DataFrame:
         F.sum("held").alias("all"),
         F.max("held").alias("most"),
     )
-    lists = lists.where("most < all").select(
-        "list",
-        "largest",
-        F.ceil((F.col("all") - F.col("most")) / LIST_BLOCK).alias("rows"),
-        F.ceil(F.col("all") / LIST_BLOCK).alias("cols"),
+    # a row per list with several components: members meet it where they lie, if there are few
+    lists = materialize_small(
+        lists.where("most < all").select(
+            "list",
+            "largest",
+            F.ceil((F.col("all") - F.col("most")) / LIST_BLOCK).alias("rows"),
+            F.ceil(F.col("all") / LIST_BLOCK).alias("cols"),
+        )
     )
     own = members.join(lists, "list").join(bitmaps.select("key", "bitmap"), "key")
     hashed = F.xxhash64("owner")
