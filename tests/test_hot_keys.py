@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import DailyPrices, attach_daily_map, duplicate_keys, enrich_facts, join_dimension, peer_mean
+from tallyspark.operators.joins import _frequent_keys
 from tallyspark.operators.quality import may_be_among
 from tallyspark.plans import registry
 from tallyspark.plans.fixtures import typed_fixture
@@ -49,6 +50,21 @@ def test_a_hot_key_stays_out_of_the_shuffle(spark, no_broadcast):
     assert join_dimension(facts.where("false"), dim, "k", "id", max_rows=10).count() == 0
 
 
+def test_facts_without_a_hot_key_are_shuffled_once(spark, no_broadcast):
+    facts = spark.range(0, 30_000, 1, 8).select((F.col("id") % 3000).cast("string").alias("k"), F.col("id").alias("v"))
+    dim = spark.range(2000).select(F.col("id").cast("string").alias("id"), (F.col("id") * 2).alias("w"))
+    joined = join_dimension(facts, dim, "k", "id", max_rows=10)
+    assert rows(joined.select("k", "v", "w")) == rows(facts.join(dim, facts.k == dim.id).select("k", "v", "w"))
+    assert plan_text(joined).count("(1) Range") <= 2 and "Union" not in plan_text(joined)  # listed in the tree and below it
+    keys = _frequent_keys(skewed(spark), "k", 1000)
+    assert "0" in {r[0] for r in keys.collect()} and "Exchange hashpartitioning" not in plan_text(keys)
+    # keys that the sketch does not take, and equal rows
+    binary = skewed(spark).select(F.encode("k", "UTF-8").alias("k"), (F.col("v") % 2).alias("v"))
+    theirs = dim.select(F.encode("id", "UTF-8").alias("id"), "w")
+    once = join_dimension(binary, theirs, "k", "id", max_rows=10, distinct=True)
+    assert rows(once.select("k", "v", "w")) == rows(binary.join(theirs, binary.k == theirs.id).select("k", "v", "w").distinct())
+
+
 def test_prices_of_a_hot_product_past_the_bound(spark, no_broadcast):
     prices, products = typed_fixture(spark, SF0001, "gpu_price"), typed_fixture(spark, SF0001, "gpu_dim")
     hot = products.where("Memory_Capacity >= 2").first().Id
