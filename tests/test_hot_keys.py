@@ -11,7 +11,7 @@ from tallyspark.operators.joins import _frequent_keys
 from tallyspark.operators.quality import may_be_among
 from tallyspark.plans import registry
 from tallyspark.plans.fixtures import typed_fixture
-from tests.helpers import SF0001, plan_text, rows
+from tests.helpers import SF001, SF0001, plan_text, rows
 
 
 @pytest.fixture()
@@ -65,6 +65,25 @@ def test_facts_without_a_hot_key_are_shuffled_once(spark, no_broadcast):
     assert rows(once.select("k", "v", "w")) == rows(binary.join(theirs, binary.k == theirs.id).select("k", "v", "w").distinct())
 
 
+def test_many_products_meet_prices_in_one_shuffle(spark, no_broadcast):
+    prices, products = typed_fixture(spark, SF001, "gpu_price"), typed_fixture(spark, SF001, "gpu_dim")
+    basket = registry.basket(spark, SF001, sort=False)
+    few = DailyPrices.of(prices.unionByName(prices.limit(50)), products, basket).attached()
+    # each product as five, so that none has a thousandth of the prices
+    spread = prices.withColumn("ProdId", F.concat("ProdId", F.lit("-"), F.pmod(F.hash("Price_USD"), F.lit(5)).cast("string")))
+    wide = products.crossJoin(spark.range(5).select(F.col("id").alias("__n"))).withColumn("Id", F.concat("Id", F.lit("-"), F.col("__n").cast("string"))).drop("__n")
+    many = DailyPrices.of(spread.unionByName(spread.limit(50)), wide, basket, max_products=1).attached()
+    plan = plan_text(many)
+    got = many.withColumn("ProdId", F.substring_index("ProdId", "-", 1))
+    assert rows(got.select(*few.columns)) == rows(few)
+    order = [(r.ProdId, r.TimeId) for r in many.collect()]
+    assert order == sorted(order)
+    shuffles = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: (\w+)partitioning", plan)
+    on_prices = [(columns, kind) for columns, kind in shuffles if "Price_USD" in columns]
+    assert [kind for _, kind in on_prices] == ["hash", "range"]  # by product, then the order
+    assert not any("Coin_Map" in columns for columns, _ in on_prices)
+
+
 def test_prices_of_a_hot_product_past_the_bound(spark, no_broadcast):
     prices, products = typed_fixture(spark, SF0001, "gpu_price"), typed_fixture(spark, SF0001, "gpu_dim")
     hot = products.where("Memory_Capacity >= 2").first().Id
