@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import DailyPrices, attach_daily_map, duplicate_keys, enrich_facts, join_dimension, peer_mean
+from tallyspark.operators import market
 from tallyspark.operators.joins import _frequent_keys
 from tallyspark.operators.quality import may_be_among
 from tallyspark.plans import registry
@@ -152,3 +153,39 @@ def test_the_filter_drops_single_keys_where_they_lie(spark):
     assert members.exceptAll(kept).isEmpty() and kept.count() < members.count() * 1.2
     plan = plan_text(kept)
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_one_makers_many_products_leave_other_prices_where_they_lie(spark, no_broadcast):
+    products = spark.range(400).select(
+        F.col("id").cast("string").alias("Id"),
+        F.when(F.col("id") % 20 == 0, "NV").otherwise("AMD").alias("Processor_Manufacturer"),
+        F.concat(F.lit("p"), F.col("id")).alias("Processor"),
+        F.lit("g").alias("GPU_Manufacturer"),
+        F.when(F.col("id") % 40 == 0, 1.0).otherwise(4.0).alias("Memory_Capacity"),
+    )
+    key = F.when(F.col("id") % 2 == 0, F.lit("20")).when(F.col("id") % 9 == 0, F.lit(None)).otherwise((F.col("id") % 500).cast("string"))
+    prices = spark.range(0, 8000, 1, 4).select(
+        key.alias("ProdId"), F.concat(F.lit("d"), F.col("id") % 7).alias("TimeId"), F.lit("r").alias("RegionId"), (F.col("id") % 3).cast("string").alias("MerchantId"),
+        (F.col("id") % 11).cast("double").alias("Price_USD"), (F.col("id") % 11 / 2).alias("Price_Original"),
+    )
+    basket = spark.createDataFrame([(f"d{i}", 1.0, "ONE", 1, 2.0) for i in range(5)], "TimeId string, High double, Currency_Name string, Number_Of_Mineable_Coins long, Avg_Crypto_Rate double")
+    few = DailyPrices.of(prices, products, basket)
+    expected = rows(peer_mean(attach_daily_map(enrich_facts(prices, products), basket), "NV", drop=("RegionId", "MerchantId")).select(*few.peer_mean("NV").columns))
+    assert rows(few.peer_mean("NV")) == expected != []
+    # past the bound, also where the product ids are of another type than the prices' or repeat
+    typed = products.withColumn("Id", F.col("Id").cast("int"))
+    repeated = products.unionByName(products)
+    for theirs in (products, typed, repeated):
+        many = DailyPrices.of(prices, theirs, basket, max_products=1)
+        assert rows(many.peer_mean("NV").select(*few.peer_mean("NV").columns)) == expected
+    # only the maker's prices are shuffled (and a few that share a bit of the filter)
+    daily = DailyPrices.of(prices, products, basket, max_products=1)
+    wanted = daily.products.where("Processor_Manufacturer = 'NV'")
+    met = []
+    real = market.join_dimension
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(market, "join_dimension", lambda facts, *a, **k: met.append(facts.count()) or real(facts, *a, **k))
+        kept = daily._distinct(wanted, False).count()
+    theirs = prices.join(wanted, prices.ProdId == wanted.Id, "left_semi").where("TimeId < 'd5'")
+    assert kept == theirs.distinct().count()
+    assert theirs.count() <= met[0] <= theirs.count() * 1.1 < prices.count()
