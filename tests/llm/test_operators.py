@@ -490,6 +490,79 @@ def test_candidate_blocks_are_written_before_the_search(spark):
     assert len(re.findall(r"(?m)^\(\d+\) MapInArrow", plan_text(found))) == 1
 
 
+def brute_top_k(queries, rows, k=5):
+    """``(query id, rank, id, score)``; an id counts once, by its best vector."""
+    found = set()
+    for q in {i for i, _ in queries}:
+        best = {}
+        for _, v in (x for x in queries if x[0] == q):
+            for i, w in rows:
+                if i != q and len(w) == len(v):
+                    best[i] = max(best.get(i, -(2**70)), sum(int(a) * int(b) for a, b in zip(v, w, strict=True)))
+        found |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted((-s, i) for i, s in best.items())[:k])}
+    return found
+
+
+def test_top_k_broadcasts_no_query_blocks(spark):
+    from tests.helpers import plan_text
+
+    table = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(60)], "vec_id long, embedding array<double>")
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            found = topk.top_k(table, F.expr("vec_id % 50 = 0"))
+            # the planner took the query blocks' files for the size of their copies, one to each of
+            # the shuffle partitions, and the driver collected all of those
+            assert "Broadcast" not in plan_text(found)
+            assert found.count() == 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+
+
+def test_top_k_in_many_cells(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    rows = [(i, [float(x) for x in rng.normal(size=6).round(2)]) for i in range(400)]
+    rows += [(i, [0.5] * 6) for i in range(400, 520)]  # one common vector
+    rows += [(i, [float(i), 3.0]) for i in range(600, 640)]
+    rows += [(7, [2.0] * 6), (7, [1.9] * 6), (7, [1.8] * 6), (20, [-1.0] * 6)]  # ids with several vectors
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    expected = brute_top_k([x for x in good if x[0] % 10 == 0], good)
+    seen = []
+    monkeypatch.setattr(topk, "grid", lambda blocks, f=topk.grid: seen.append(f(blocks)) or seen[-1])
+    for held, work in ((topk.HELD, topk.CELL_WORK), (3000, 1 << 14)):
+        monkeypatch.setattr(topk, "HELD", held)
+        monkeypatch.setattr(topk, "CELL_WORK", work)
+        assert {tuple(r) for r in topk.top_k(table, F.expr("vec_id % 10 = 0"), block=16).collect()} == expected
+    assert seen[0] == (1, 1) and min(seen[1]) > 1
+
+
+@pytest.mark.parametrize("scale", [30, 1e5, 1e7, 2e8])
+def test_block_search_is_exact(scale):
+    rng = np.random.default_rng(15)
+    rows = (rng.normal(size=(700, 12)) * scale).astype(np.int64)
+    rows[100:200] = rows[5]  # ties
+    rows[200:260] *= 3  # bounds spare most pairs with the others
+    ids = rng.permutation(700)
+    ids[300:320] = ids[299]  # an id with several vectors
+    search = topk.BlockSearch(ids[:40], rows[:40], 5)
+    for at in np.array_split(rng.permutation(700), 9):
+        search.add(ids[at], rows[at])
+    q, found, scores = search.found()
+    ranks = np.concatenate([np.arange(n) + 1 for n in np.unique(q, return_counts=True)[1]])
+    got = set(zip(q.tolist(), ranks.tolist(), found.tolist(), scores.tolist(), strict=True))
+    assert got == brute_top_k(list(zip(ids[:40].tolist(), rows[:40], strict=True)), list(zip(ids.tolist(), rows, strict=True)))
+
+
+def test_block_search_refuses_scores_beyond_a_long():
+    for sign in (1, -1):
+        search = topk.BlockSearch(np.array([1]), np.full((1, 4), 2**62), 5)
+        with pytest.raises(OverflowError):
+            search.add(np.array([2]), np.full((1, 4), sign * 2**62))
+            search.found()
+
+
 def test_bounds_are_above_products():
     rng = np.random.default_rng(5)
     a, b = rng.normal(size=(50, 30)) * 256, rng.normal(size=(60, 30)) * 256
